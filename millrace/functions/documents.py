@@ -15,13 +15,18 @@ def parse(body: Column) -> Column:
     return F.try_parse_json(body)
 
 
-def with_parsed(df: DataFrame, body: str, name: str) -> DataFrame:
-    """Add the parsed ``body`` as column ``name``, parsed once however often it is read.
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value`` as a column that is worked out once per row, however often it is read.
 
-    The optimizer copies a plain projected expression into every filter it pushes down, here one
-    more parse of each document; it does not do so with the output of a generator.
+    The optimizer copies a plain projected expression into the filters and lambdas that read it,
+    which here would parse a document again for each; it leaves the output of a generator alone.
     """
-    return df.select("*", F.explode(F.array(parse(F.col(body)))).alias(name))
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def with_parsed(df: DataFrame, body: str, name: str) -> DataFrame:
+    """Add the parsed ``body`` as column ``name``."""
+    return with_once(df, name, parse(F.col(body)))
 
 
 def field(doc: Column, path: str, kind: str = "string") -> Column:

@@ -16,6 +16,11 @@ def unquote_plus(text: Column) -> Column:
     return F.url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
+def unquote(text: Column) -> Column:
+    """URL-decode that leaves ``+`` alone."""
+    return unquote_plus(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def trim_timestamp(text: Column) -> Column:
     """ISO-8601 text to ``yyyy-MM-dd HH:mm:ss`` by text edits alone, as far as it goes."""
     plain = F.replace(F.replace(text, F.lit("+00:00"), F.lit("")), F.lit("T"), F.lit(" "))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,44 +54,57 @@ def _no_null(keys: Sequence[str]) -> Column:
     return known
 
 
+class HotKeys(NamedTuple):
+    """Keys to split, with the number of parts of each, and whether null keys need splitting."""
+
+    parts: DataFrame
+    nulls: bool
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT_KEYS
-) -> DataFrame | None:
-    """Keys with too many rows for one task, with the number of parts to split each into.
+) -> HotKeys | None:
+    """Keys with too many rows for one task; None when there are none.
 
     The threshold is the larger of ``hot_rows`` and total / ``most``, so at most ``most`` keys can
-    pass it whatever the data: the list is safe to bring to the driver and to broadcast. None
-    when no key is hot.
+    pass it whatever the data: the list is safe to bring to the driver and to broadcast. A table
+    that is itself below the threshold is not looked into.
     """
-    threshold = max(hot_rows, math.ceil(df.count() / most))
+    wanted = df.select(*keys)
+    total = wanted.count()
+    threshold = max(hot_rows, math.ceil(total / most))
+    if total <= threshold:
+        return None
     heavy = (
-        df.where(_no_null(keys))
-        .groupBy(*keys)
+        wanted.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(_PARTS))
         .where(F.col(_PARTS) > threshold)
         .withColumn(_PARTS, F.ceil(F.col(_PARTS) / threshold).cast("int"))
     )
     found = heavy.collect()
-    return df.sparkSession.createDataFrame(found, heavy.schema) if found else None
+    if not found:
+        return None
+    known = [row for row in found if None not in row]
+    return HotKeys(df.sparkSession.createDataFrame(known, heavy.schema), len(known) < len(found))
 
 
-def _part_of(df: DataFrame, keys: Sequence[str], hot: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+def _part_of(df: DataFrame, keys: Sequence[str], hot: HotKeys, spread_by: Sequence[str]) -> DataFrame:
     """Give each row of a hot key one part, by a hash of the columns that tell rows apart."""
     mark = F.xxhash64(*spread_by)
-    part = (
-        F.when(F.col(_PARTS).isNotNull(), F.pmod(mark, F.col(_PARTS)))
-        .when(_no_null(keys), F.lit(0))
-        .otherwise(F.pmod(mark, F.lit(NULL_PARTS)))
-    )
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(_PART, part.cast("int"))
+    part = F.when(F.col(_PARTS).isNotNull(), F.pmod(mark, F.col(_PARTS)))
+    if hot.nulls:
+        part = part.when(~_no_null(keys), F.pmod(mark, F.lit(NULL_PARTS)))
+    marked = df.join(F.broadcast(hot.parts), list(keys), "left")
+    return marked.withColumn(_PART, part.otherwise(F.lit(0)).cast("int")).drop(_PARTS)
 
 
-def _every_part(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def _every_part(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
     """Copy each row of a hot key into all parts of that key."""
     parts = F.when(F.col(_PARTS).isNotNull(), F.sequence(F.lit(0), F.col(_PARTS) - 1)).otherwise(
         F.array(F.lit(0))
     )
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(_PART, F.explode(parts))
+    marked = df.join(F.broadcast(hot.parts), list(keys), "left")
+    return marked.withColumn(_PART, F.explode(parts))
 
 
 def skew_left_join(
@@ -109,14 +123,12 @@ def skew_left_join(
     right rows exist, so the copy that does match is always there.
     """
     counted = right if right_keys is None else right_keys
-    hot = hot_keys(counted.select(*keys), keys, hot_rows)
+    hot = hot_keys(counted, keys, hot_rows)
     if hot is None:
         return left.join(right, list(keys), "left")
     copies = _every_part(left, keys, hot)
     parts = _part_of(right.where(_no_null(keys)), keys, hot, spread_by)
-    joined = copies.join(
-        parts.drop(_PARTS).withColumn(_HIT, F.lit(True)), [*keys, _PART], "left"
-    )
+    joined = copies.join(parts.withColumn(_HIT, F.lit(True)), [*keys, _PART], "left")
     kept = joined.where(F.col(_HIT).isNotNull() | F.col(_PARTS).isNull())
     return kept.drop(_PARTS, _PART, _HIT)
 
@@ -136,11 +148,10 @@ def lookup_join(
     """
     if is_small(dimension, broadcast_rows):
         return facts.join(F.broadcast(dimension), list(keys), "left")
-    hot = hot_keys(facts.select(*keys), keys, hot_rows)
+    hot = hot_keys(facts, keys, hot_rows)
     if hot is None:
-        no_parts = dimension.select(*keys, F.lit(1).alias(_PARTS)).schema
-        hot = dimension.sparkSession.createDataFrame([], no_parts)
-    parts = _part_of(facts, keys, hot, spread_by).drop(_PARTS)
+        return facts.join(dimension, list(keys), "left")
+    parts = _part_of(facts, keys, hot, spread_by)
     copies = _every_part(dimension.where(_no_null(keys)), keys, hot).drop(_PARTS)
     return parts.join(copies, [*keys, _PART], "left").drop(_PART)
 
@@ -171,7 +182,7 @@ def docs_for_keys(
     A small batch filters the documents where they are scanned, without a shuffle. For a large
     one all documents are passed on: the join that follows finds the partners anyway.
     """
-    keys = wanted.select(key).distinct()
+    keys = wanted.select(key)
     if is_small(keys, broadcast_rows):
-        return docs.join(F.broadcast(keys), key, "left_semi")
+        return docs.join(F.broadcast(keys.distinct()), key, "left_semi")
     return docs

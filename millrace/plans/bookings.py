@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, documents, text
-from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import insert_if_absent, lookup_join
 from millrace.operators.required import Split, split_required
 from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, CHANNELS
@@ -73,11 +72,13 @@ def booking_silver(bronze: DataFrame, channels: Mapping[str, str] = CHANNELS) ->
 
 
 def first_spend(spend: DataFrame, position: tuple[str, ...] = ("file_path", "pos")) -> DataFrame:
-    """The first spend row of each channel and day, in file and array order."""
+    """The first spend row of each channel and day, in file and array order.
+
+    An aggregate, not a sort: there are few channels and days, however many rows they have.
+    """
     order = [c for c in position if c in spend.columns]
-    return first_per_key(spend.select("channel", "date", "spend", *order), ["channel", "date"], order).select(
-        "channel", "date", "spend"
-    )
+    first = F.min_by("spend", order[0] if len(order) == 1 else F.struct(*order))
+    return spend.groupBy("channel", "date").agg(first.alias("spend"))
 
 
 def with_spend(

@@ -10,8 +10,9 @@ from millrace.operators.joins import docs_for_keys, insert_if_absent, lookup_joi
 from millrace.operators.required import Split, split_required
 from millrace.schemas import ARRIVAL, LEAD_GOLD
 
-_DOC = "__doc"
+_FIELDS = "__fields"
 _OWNER = "__owner"
+_OWNER_FIELDS = "__owner_fields"
 
 
 def lead_silver(bronze: DataFrame, owners: DataFrame) -> DataFrame:
@@ -27,10 +28,15 @@ def lead_silver(bronze: DataFrame, owners: DataFrame) -> DataFrame:
     joined = lookup_join(
         bronze, owner, ["doc_id"], spread_by=arrival or ["body"], broadcast_rows=0
     )
-    body = documents.top_level(documents.parse(F.col("body")))
-    other = documents.top_level(documents.parse(F.col(_OWNER)))
-    merged = F.coalesce(documents.merge_right_wins(other, body), body)
-    return joined.withColumn("body", F.to_json(merged, {"ignoreNullFields": "false"})).drop(_OWNER)
+    fields = joined
+    for name, text_column in ((_FIELDS, "body"), (_OWNER_FIELDS, _OWNER)):
+        fields = documents.with_once(
+            fields, name, documents.top_level(documents.parse(F.col(text_column)))
+        )
+    merged = documents.merge_right_wins(F.col(_OWNER_FIELDS), F.col(_FIELDS))
+    body = F.to_json(F.coalesce(merged, F.col(_FIELDS)), {"ignoreNullFields": "false"})
+    # a body that is no JSON object stays as it came, for the quarantine
+    return fields.withColumn("body", F.coalesce(body, F.col("body"))).drop(_OWNER, _FIELDS, _OWNER_FIELDS)
 
 
 def lead_gold(silver: DataFrame) -> Split:
@@ -39,15 +45,17 @@ def lead_gold(silver: DataFrame) -> Split:
     Every field has to be present; only the creation time has to have a value, as it is cut.
     """
     kept = [c for c in silver.columns if c not in ("body", *LEAD_GOLD)]
-    parsed = documents.with_parsed(silver, "body", _DOC)
-    fields = documents.top_level(F.col(_DOC))
+    parsed = documents.with_once(
+        silver, _FIELDS, documents.top_level(documents.parse(F.col("body")))
+    )
+    fields = F.col(_FIELDS)
     rules: dict[str, Column] = {"body": fields.isNotNull()}
     rules |= {name: F.map_contains_key(fields, name) for name in LEAD_GOLD[:-1]}
     rules[LEAD_GOLD[-1]] = documents.as_text(fields[LEAD_GOLD[-1]]).isNotNull()
     valid, quarantine = split_required(parsed, rules)
     gold = valid.select(*[documents.as_text(fields[name]).alias(name) for name in LEAD_GOLD], *kept)
     trimmed = gold.withColumn("date_created", text.trim_timestamp(F.col("date_created")))
-    return Split(trimmed, quarantine.drop(_DOC))
+    return Split(trimmed, quarantine.drop(_FIELDS))
 
 
 def lead_outbox(gold: DataFrame) -> DataFrame:

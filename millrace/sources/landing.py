@@ -20,19 +20,15 @@ def _with_file(lines: DataFrame) -> DataFrame:
 
 def bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """Bodies of a landing folder: one per file, or one per line."""
-    reader = spark.read.option("wholetext", whole_files)
-    return _with_file(reader.text(path))
+    return _with_file(spark.read.text(path, wholetext=whole_files))
 
 
 def stream_bodies(
     spark: SparkSession, path: str, whole_files: bool = True, files_per_batch: int = 100_000
 ) -> DataFrame:
     """The same as a stream of newly arrived files."""
-    reader = (
-        spark.readStream.option("wholetext", whole_files)
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
-    return _with_file(reader.text(path))
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _with_file(reader.text(path, wholetext=whole_files))
 
 
 def bronze_rows(landed: DataFrame, doc_id: Column) -> DataFrame:
@@ -90,15 +86,16 @@ def spend_rows(files: DataFrame, body: str = "body") -> DataFrame:
 
 def read_spend(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """Spend rows of the files under ``root``; with ``day`` only that day's file, if any."""
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if day is not None:
         # Fixed value: name of a day's spend file.
         reader = reader.option("pathGlobFilter", f"spend_data_{day}.json")
-    return spend_rows(_with_file(reader.text(root)))
+    return spend_rows(_with_file(reader.text(root, wholetext=True)))
 
 
 def read_owners(spark: SparkSession, root: str) -> DataFrame:
     """Owner documents, one file per lead named after its id: ``lead_id, owner``."""
-    files = spark.read.option("wholetext", True).text(root)
+    files = spark.read.text(root, wholetext=True)
+    # the metadata column holds the name in URL form
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    return files.select(text.unquote_plus(name).alias("lead_id"), F.col("value").alias("owner"))
+    return files.select(text.unquote(name).alias("lead_id"), F.col("value").alias("owner"))
