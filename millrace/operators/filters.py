@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, numbers, text
+from millrace.operators.joins import keep_matching
 
 
 def recent_visitors(visitors: DataFrame, as_of: date | str | None) -> DataFrame:
@@ -29,10 +30,12 @@ def since_yesterday(feed: DataFrame, column: str, as_of: date | str | None) -> D
     return feed.where(F.col(column) >= since)
 
 
-def of_media(feed: DataFrame, media: Iterable[str] | DataFrame) -> DataFrame:
+def of_media(
+    feed: DataFrame, media: Iterable[str] | DataFrame, spread_by: Sequence[str] = ("event_key",)
+) -> DataFrame:
     """Feed rows of the wanted media: a short list, or a frame with ``media_id``."""
     if isinstance(media, DataFrame):
-        return feed.join(media.select("media_id").distinct(), "media_id", "left_semi")
+        return keep_matching(feed, media, "media_id", spread_by)
     return feed.where(F.col("media_id").isin(*media))
 
 

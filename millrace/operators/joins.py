@@ -156,6 +156,14 @@ def lookup_join(
     return parts.join(copies, [*keys, _PART], "left").drop(_PART)
 
 
+def keep_matching(
+    facts: DataFrame, wanted: DataFrame, key: str, spread_by: Sequence[str], **limits
+) -> DataFrame:
+    """Facts whose key is wanted; ``lookup_join`` decides how they meet."""
+    hits = wanted.select(key).distinct().withColumn(_HIT, F.lit(True))
+    return lookup_join(facts, hits, [key], spread_by, **limits).where(_HIT).drop(_HIT)
+
+
 def insert_if_absent(
     new: DataFrame,
     target: DataFrame,

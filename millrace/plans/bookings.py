@@ -15,47 +15,52 @@ from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, CHANNELS
 from millrace.sources import tables
 
 _DOC = "__doc"
+_FLAT = "__flat"
 _EVENT = "payload.scheduled_event"
 _HOST = f"{_EVENT}.event_memberships[0]"
 
-
-def _rules(doc: Column) -> dict[str, Column]:
+# Flat column -> where it stands in the document. Of an address the last segment is taken.
+_ADDRESSES = {
+    "invitee_id": "payload.uri",
+    "booking_id": f"{_EVENT}.uri",
+    "event_type_id": f"{_EVENT}.event_type",
+}
+_COPIES = {
+    "email": "payload.email",
+    "name": "payload.name",
+    "status": "payload.status",
+    "booking_created_at": "payload.created_at",
+    "start_time": f"{_EVENT}.start_time",
+    "end_time": f"{_EVENT}.end_time",
+    "event_name": f"{_EVENT}.name",
+    "employee_email": f"{_HOST}.user_email",
+    "employee_name": f"{_HOST}.user_name",
+}
+_TRACKING = "payload.tracking"
+
+
+def _flat(doc: Column) -> Column:
+    columns = {n: text.last_segment(documents.field(doc, path)) for n, path in _ADDRESSES.items()}
+    columns |= {n: documents.field(doc, path) for n, path in _COPIES.items()}
+    columns["campaign"] = documents.field(doc, f"{_TRACKING}.utm_campaign")
+    return F.struct(*[c.alias(n) for n, c in columns.items()])
+
+
+def _rules(doc: Column, flat: str) -> dict[str, Column]:
     """What a booking document must hold.
 
     A field that is only copied has to be present but may be a JSON null; one that is cut or
-    looked into has to have a value. The campaign is optional.
+    looked into has to have a value. The campaign is optional. Presence is looked up in the
+    document only where the flat value is null.
     """
-    present = [
-        "payload.email", "payload.name", "payload.status", "payload.created_at",
-        f"{_EVENT}.start_time", f"{_EVENT}.end_time", f"{_EVENT}.name",
-        f"{_HOST}.user_email", f"{_HOST}.user_name",
-    ]
-    valued = ["payload.uri", f"{_EVENT}.uri", f"{_EVENT}.event_type", "payload.tracking"]
     rules = {"body": doc.isNotNull()}
-    rules |= {path: documents.has_value(doc, path) for path in valued}
-    rules |= {path: documents.has_key(doc, path) for path in present}
-    return rules
-
-
-def _flat(doc: Column) -> dict[str, Column]:
-    def get(path: str) -> Column:
-        return documents.field(doc, path)
-
-    return {
-        "invitee_id": text.last_segment(get("payload.uri")),
-        "email": get("payload.email"),
-        "name": get("payload.name"),
-        "status": get("payload.status"),
-        "booking_created_at": get("payload.created_at"),
-        "booking_id": text.last_segment(get(f"{_EVENT}.uri")),
-        "start_time": get(f"{_EVENT}.start_time"),
-        "end_time": get(f"{_EVENT}.end_time"),
-        "event_name": get(f"{_EVENT}.name"),
-        "event_type_id": text.last_segment(get(f"{_EVENT}.event_type")),
-        "employee_email": get(f"{_HOST}.user_email"),
-        "employee_name": get(f"{_HOST}.user_name"),
-        "campaign": get("payload.tracking.utm_campaign"),
+    rules |= {path: F.col(f"{flat}.{n}").isNotNull() for n, path in _ADDRESSES.items()}
+    rules[_TRACKING] = documents.has_value(doc, _TRACKING)
+    rules |= {
+        path: F.col(f"{flat}.{n}").isNotNull() | documents.has_key(doc, path)
+        for n, path in _COPIES.items()
     }
+    return rules
 
 
 def booking_silver(bronze: DataFrame, channels: Mapping[str, str] = CHANNELS) -> Split:
@@ -65,10 +70,11 @@ def booking_silver(bronze: DataFrame, channels: Mapping[str, str] = CHANNELS) ->
     """
     kept = [c for c in bronze.columns if c not in ("body", *BOOKING_SILVER)]
     parsed = documents.with_parsed(bronze, "body", _DOC)
-    valid, quarantine = split_required(parsed, _rules(F.col(_DOC)))
-    flat = valid.select(*kept, *[c.alias(name) for name, c in _flat(F.col(_DOC)).items()])
-    with_channel = flat.withColumn("channel", documents.lookup(F.col("event_type_id"), dict(channels)))
-    return Split(with_channel.select(*BOOKING_SILVER, *kept), quarantine.drop(_DOC))
+    parsed = documents.with_once(parsed, _FLAT, _flat(F.col(_DOC)))
+    valid, quarantine = split_required(parsed, _rules(F.col(_DOC), _FLAT))
+    channel = documents.lookup(F.col("event_type_id"), dict(channels))
+    flat = valid.select(*kept, f"{_FLAT}.*").withColumn("channel", channel)
+    return Split(flat.select(*BOOKING_SILVER, *kept), quarantine.drop(_DOC, _FLAT))
 
 
 def first_spend(spend: DataFrame, position: tuple[str, ...] = ("file_path", "pos")) -> DataFrame:

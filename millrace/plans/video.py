@@ -29,7 +29,7 @@ def bronze_stats(
     """Daily media figures since yesterday; ``pages`` carries the ``media_id`` of each page."""
     rows = landing.media_feed_rows(pages, MEDIA_STATS, F.col("media_id"))
     rows = since_yesterday(rows, "date", as_of)
-    return rows if media is None else of_media(rows, media)
+    return rows if media is None else of_media(rows, media, spread_by=["date"])
 
 
 def bronze_visitors(pages: DataFrame, as_of: date | str | None) -> DataFrame:

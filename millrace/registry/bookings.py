@@ -12,10 +12,11 @@ from millrace.registry.views import (
 )
 from millrace.schemas import BOOKING_SILVER
 from millrace.sources import landing
+from millrace.sources.tables import spread
 
 
 def _bronze(spark, d):
-    return table(spark, d, "events").select(booking_body().alias("body"))
+    return spread(table(spark, d, "events"), "event_id").select(booking_body().alias("body"))
 
 
 def booking_flatten(spark, d):

@@ -20,7 +20,7 @@ def stream_upsert(spark, d):
     """Turns of a conversation as deliveries of one document; the last turn stands."""
     root = scratch(spark, "upsert")
     body = documents.json_text("conv_id", "turn", "role", "text")
-    landed = stream_table(spark, d, "conversations").select(body.alias("body"), *_FILE)
+    landed = stream_table(spark, d, "conversations", "conv_id").select(body.alias("body"), *_FILE)
     flows.land_bodies(landed, root, lambda b: documents.field(documents.parse(b), "conv_id"))
 
     def flatten(batch):
@@ -42,7 +42,7 @@ def stream_upsert(spark, d):
 def stream_enrich(spark, d):
     """Booking documents through bronze, silver and gold, joined to the spend table on the way."""
     root = scratch(spark, "bookings")
-    landed = stream_table(spark, d, "events").select(booking_body().alias("body"), *_FILE)
+    landed = stream_table(spark, d, "events", "event_id").select(booking_body().alias("body"), *_FILE)
     flows.run_bookings(spark, landed, root, spend(spark, d), AS_OF, channels=CHANNEL_OF)
     log = runs.read_log(spark, f"{root}/gold", flows.BOOKING_GOLD_LOG)
     return runs.latest(log, "invitee_id").select("invitee_id", "channel", "employee_name", "spend", "campaign")
@@ -50,7 +50,7 @@ def stream_enrich(spark, d):
 
 def _leads(spark, d):
     root = scratch(spark, "leads")
-    landed = stream_table(spark, d, "documents").select(lead_body().alias("body"), *_FILE)
+    landed = stream_table(spark, d, "documents", "doc_id").select(lead_body().alias("body"), *_FILE)
     flows.run_leads(spark, landed, root, owners(spark, d))
     return root
 

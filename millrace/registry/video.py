@@ -42,7 +42,7 @@ def _page(rows, *columns):
 
 
 def _event_pages(spark, d):
-    return _page(video_events(spark, d), *VIDEO_EVENTS.names)
+    return _page(tables.spread(video_events(spark, d), "event_key"), *VIDEO_EVENTS.names)
 
 
 def union_pages(spark, d):
@@ -72,7 +72,7 @@ def visitor_feed(spark, d):
         F.col("o_custkey").alias("load_count"),
         F.col("o_orderkey").alias("play_count"),
     )
-    pages = _page(rows, *VISITORS.names)
+    pages = _page(tables.spread(rows, "visitor_key"), *VISITORS.names)
     return first_per_key(v.bronze_visitors(pages, DAY), ["visitor_key"])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import documents
 from millrace.plans.bookings import booking_mart
 from millrace.session import apply_settings, shared_root
+from millrace.sources.tables import cores, few_splits, spread
 
 # All bookings of the test tables start in this month.
 AS_OF = "2024-01-15"
@@ -37,14 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table as a file stream, with the file columns of a landing stream."""
-    schema = table(spark, sf_dir, name).schema
+def stream_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A test table as a file stream, with the file columns of a landing stream.
+
+    A table of fewer splits than cores is dealt out by ``key``, as many landing files would be.
+    """
+    rows = table(spark, sf_dir, name)
     # the bracket makes it a pattern: a pattern may match one file as well as a folder
-    files = spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
-    return files.select(
+    files = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    landed = files.select(
         "*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time")
     )
+    return landed.repartition(cores(spark), key) if few_splits(rows) else landed
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -250,7 +255,7 @@ def lead_body() -> Column:
 
 
 def lead_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         text_of("doc_id").alias("doc_id"), lead_body().alias("body")
     )
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.dedup import latest_per_key
@@ -51,8 +52,21 @@ def latest(log: DataFrame, key: str, order_by: list[str] | None = None) -> DataF
     return latest_per_key(log, [key], order)
 
 
-def compact(log: DataFrame, key: str, path: str, order_by: list[str] | None = None) -> None:
-    """Write the current rows of a log to a new folder, never into the log being read."""
+def compact(
+    log: DataFrame,
+    key: str,
+    path: str,
+    order_by: list[str] | None = None,
+    previous: DataFrame | None = None,
+) -> None:
+    """Write the current rows of a log to a new folder, never into one being read.
+
+    With ``previous``, an earlier result, only batches after its last one are read from the log.
+    """
+    if previous is not None:
+        done = previous.agg(F.max(BATCH)).first()[0]
+        newer = log if done is None else log.where(F.col(BATCH) > done)
+        log = previous.unionByName(newer)
     tables.write_table(latest(log, key, order_by), path)
 
 

@@ -92,6 +92,15 @@ def test_lookup_join_takes_every_route(frame, broadcast_rows, hot_rows):
     assert bag(got) == left_join(HOT, dimension)
 
 
+@pytest.mark.parametrize("broadcast_rows, hot_rows", [(100, 5), (0, 5), (0, 1_000_000)])
+def test_keep_matching(frame, broadcast_rows, hot_rows):
+    wanted = frame([(1,), (1,), (None,), (7,)], "k int")
+    got = joins.keep_matching(
+        frame(HOT, "k int, a int"), wanted, "k", ["a"], broadcast_rows=broadcast_rows, hot_rows=hot_rows
+    )
+    assert bag(got) == Counter(r for r in HOT if r[0] == 1)
+
+
 def test_hot_keys_are_bounded(frame):
     rows = frame([(i % 7,) for i in range(700)], "k int")
     assert joins.hot_keys(rows, ["k"], hot_rows=50, most=3) is None
@@ -138,7 +147,7 @@ def test_recent_visitors(frame):
 
 
 def test_of_media(frame):
-    rows = frame([("a",), ("b",), (None,)], "media_id string")
+    rows = frame([("a", "1"), ("b", "2"), (None, "3")], "media_id string, event_key string")
     assert of_media(rows, ["a", "z"]).count() == 1
     assert of_media(rows, frame([("b",), ("b",)], "media_id string")).count() == 1
 

@@ -93,6 +93,18 @@ def test_compaction_keeps_current_rows(spark, frame, folder):
     assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 2), ("b", 1)]
 
 
+def test_compaction_goes_on_from_the_last_one(spark, frame, folder):
+    root, first, second = folder("log"), folder("first"), folder("second")
+    runs.write_batch(frame([("a", 1), ("b", 1)], "k string, v int"), root, 0)
+    runs.write_batch(frame([("a", 2)], "k string, v int"), root, 1)
+    runs.compact(spark.read.parquet(root), "k", first)
+    runs.write_batch(frame([("c", 3), ("b", 4)], "k string, v int"), root, 2)
+    runs.compact(spark.read.parquet(root), "k", second, previous=spark.read.parquet(first))
+    whole = runs.latest(spark.read.parquet(root), "k")
+    got = sorted((r.k, r.v) for r in spark.read.parquet(second).collect())
+    assert got == sorted((r.k, r.v) for r in whole.collect()) == [("a", 2), ("b", 4), ("c", 3)]
+
+
 def run_leads(spark, inbox, root, owners, per_batch=100):
     stream = landing.stream_bodies(spark, inbox, files_per_batch=per_batch)
     flows.run_leads(spark, stream, root, landing.read_owners(spark, owners))

@@ -71,6 +71,12 @@ def test_media_choice(frame):
     assert [r.event_key for r in rows.collect()] == ["b"]
 
 
+def test_media_choice_by_table(frame):
+    stats = frame([("m1", json.dumps([{"date": "2026-03-10"}])), ("m2", json.dumps([{"date": "2026-03-10"}]))],
+                  "media_id string, body string")
+    assert v.bronze_stats(stats, DAY, frame([("m2",)], "media_id string")).first().media_id == "m2"
+
+
 def write_all(spark, feeds, root, day=DAY):
     for name, rows in feeds.items():
         v.write_bronze(rows, f"{root}/bronze", name, day)
