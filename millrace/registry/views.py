@@ -13,6 +13,7 @@ from millrace.functions import documents
 from millrace.plans.bookings import booking_mart
 from millrace.session import apply_settings, shared_root
 from millrace.sources.tables import cores, few_splits, spread
+from millrace.streaming.runs import BATCH_BYTES
 
 # All bookings of the test tables start in this month.
 AS_OF = "2024-01-15"
@@ -45,7 +46,8 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataF
     """
     rows = table(spark, sf_dir, name)
     # the bracket makes it a pattern: a pattern may match one file as well as a folder
-    files = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    reader = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    files = reader.parquet(f"{sf_dir}/{name}.parque[t]")
     landed = files.select(
         "*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time")
     )

@@ -18,13 +18,34 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
-    """New or running session with ``SETTINGS``; ``conf`` keys may use ``__`` for dots."""
+# Shuffle data that one task should handle; adaptive execution merges smaller partitions.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
+    """Shuffle partitions for a job that reads about ``input_bytes``.
+
+    Adaptive execution can only merge partitions, so a large job has to start with many.
+    """
+    return max(at_least, min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES)))
+
+
+def build_session(
+    app_name: str = "millrace", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """New or running session with ``SETTINGS``; ``conf`` keys may use ``__`` for dots.
+
+    ``input_bytes``, what the job is going to read, sizes its shuffles.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    extra = {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in {**SETTINGS, **extra}.items():
+    settings = dict(SETTINGS)
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    settings |= {key.replace("__", "."): value for key, value in conf.items()}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -77,17 +77,17 @@ def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFra
 
     def to_gold(batch: DataFrame) -> dict[str, DataFrame]:
         split = leads.lead_gold(batch)
-        return {
-            "gold": split.valid,
-            "outbox": leads.lead_outbox(split.valid),
-            "quarantine": split.quarantine,
-        }
+        return {"gold": split.valid, "quarantine": split.quarantine}
+
+    def to_outbox(batch: DataFrame) -> dict[str, DataFrame]:
+        return {"outbox": leads.lead_outbox(batch)}
 
     bronze = runs.stream_log(spark, f"{root}/bronze", BRONZE)
     runs.each_batch(bronze, to_silver, root, f"{root}/_checkpoints/silver")
     silver = runs.stream_log(spark, f"{root}/silver", LEAD_LOG)
     runs.each_batch(silver, to_gold, root, f"{root}/_checkpoints/gold")
     gold = runs.stream_log(spark, f"{root}/gold", LEAD_GOLD_LOG)
+    runs.each_batch(gold, to_outbox, root, f"{root}/_checkpoints/outbox")
     runs.append_absent(
         gold, leads.load_leads, f"{root}/warehouse", LEAD_WAREHOUSE, f"{root}/_checkpoints/warehouse"
     )

@@ -19,6 +19,8 @@ from millrace.schemas import ARRIVAL
 from millrace.sources import tables
 
 BATCH = "batch_id"
+# Most that one micro-batch reads of a log.
+BATCH_BYTES = 2**40
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -34,10 +36,10 @@ def read_log(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
 
 
 def stream_log(
-    spark: SparkSession, root: str, schema: T.StructType, files_per_batch: int = 10_000
+    spark: SparkSession, root: str, schema: T.StructType, bytes_per_batch: int = BATCH_BYTES
 ) -> DataFrame | None:
     """A log as a stream: what one layer writes starts the next. None before the first write."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch)
     try:
         return reader.parquet(root).select(*schema.names)
     except AnalysisException as error:
@@ -96,19 +98,15 @@ def each_batch(
 ) -> None:
     """Run ``step`` on every micro-batch and replace that batch in the log of each result.
 
-    Every row of a batch is handled. The batch is kept while its results are written, so the
-    source files are read once for all of them. Returns when all that has arrived is done.
+    Every row of a batch is handled. Each result reads its columns from the log before; nothing
+    is cached, as a batch may be far larger than memory. Returns when all that has arrived is done.
     """
     if stream is None:
         return
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for name, rows in step(batch).items():
-                write_batch(rows, f"{root}/{name}", batch_id)
-        finally:
-            batch.unpersist()
+        for name, rows in step(batch).items():
+            write_batch(rows, f"{root}/{name}", batch_id)
 
     _run(stream, handle, checkpoint)
 

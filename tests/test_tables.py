@@ -17,6 +17,11 @@ def test_settings_are_on_the_session(spark):
     assert session.apply_settings(spark) is spark
 
 
+@pytest.mark.parametrize("size, partitions", [(0, 200), (10**9, 200), (10**12, 7451), (10**15, 100_000)])
+def test_shuffle_partitions_grow_with_the_input(size, partitions):
+    assert session.shuffle_partitions(size) == partitions
+
+
 class Conf:
     def __init__(self, root, master):
         self.root = root
