@@ -8,21 +8,44 @@ from millrace.functions import documents
 from millrace.operators.joins import docs_for_keys, insert_if_absent
 from millrace.plans import bookings as b
 from millrace.registry.views import (
-    AS_OF, BOOKINGS_SQL, CHANNEL_OF, CHANNEL_SQL, SPEND_SQL, booking_body, marketing, spend, table,
+    AS_OF, BOOKINGS_SQL, CHANNEL_OF, CHANNEL_SQL, MART_SQL, SPEND_SQL, booking_body, marketing, scratch,
+    spend, table,
 )
 from millrace.schemas import BOOKING_SILVER
-from millrace.sources import landing
-from millrace.sources.tables import spread
+from millrace.sources import landing, tables
 
 
 def _bronze(spark, d):
-    return spread(table(spark, d, "events"), "event_id").select(booking_body().alias("body"))
+    return tables.spread(table(spark, d, "events"), "event_id").select(booking_body().alias("body"))
 
 
 def booking_flatten(spark, d):
     return b.booking_silver(_bronze(spark, d), CHANNEL_OF).valid
 
 
+def landing_files(spark, d):
+    """Booking documents by way of a landing folder of text files, one document per line."""
+    path = scratch(spark, "landing")
+    _bronze(spark, d).write.text(path)
+    landed = landing.bodies(spark, path, whole_files=False)
+    bronze = landing.bronze_rows(landed, landing.invitee_id_of(F.col("body")))
+    return b.booking_silver(bronze, CHANNEL_OF).valid.select("doc_id", *BOOKING_SILVER)
+
+
+def json_export(spark, d):
+    """Gold as JSON lines, read back: nulls are written out, so each line has every field."""
+    path = scratch(spark, "export")
+    rows = marketing(spark, d).select("invitee_id", "channel", "spend")
+    tables.write_json(rows, path)
+    doc = F.col("doc")
+    lines = documents.with_parsed(spark.read.text(path), "value", "doc")
+    return lines.select(
+        documents.field(doc, "invitee_id").alias("invitee_id"),
+        documents.field(doc, "spend", "double").alias("spend"),
+        (documents.has_key(doc, "channel") & documents.has_key(doc, "spend")).alias("whole"),
+    )
+
+
 def required_fields_split(spark, d):
     """Bookings without a host are set aside with the two fields they lack."""
     split = b.booking_silver(_bronze(spark, d), CHANNEL_OF)
@@ -96,6 +119,13 @@ QUERIES = {
     "booking_flatten": (
         booking_flatten, f"WITH {BOOKINGS_SQL} SELECT {', '.join(BOOKING_SILVER)} FROM bookings"
     ),
+    "landing_files": (
+        landing_files,
+        f"WITH {BOOKINGS_SQL} SELECT invitee_id AS doc_id, {', '.join(BOOKING_SILVER)} FROM bookings",
+    ),
+    "json_export": (
+        json_export, f"WITH {MART_SQL} SELECT invitee_id, spend, true AS whole FROM mart"
+    ),
     "required_fields_split": (
         required_fields_split,
         """SELECT CAST(event_id AS VARCHAR) AS invitee_id,

@@ -32,7 +32,8 @@ def events_stats_left(spark, d):
 
 
 def dedup_by_key(spark, d):
-    return first_per_key(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+    keys = ["l_orderkey", "l_linenumber"]
+    return first_per_key(tables.spread(table(spark, d, "lineitem"), *keys), keys)
 
 
 def _page(rows, *columns):
@@ -42,7 +43,7 @@ def _page(rows, *columns):
 
 
 def _event_pages(spark, d):
-    return _page(tables.spread(video_events(spark, d), "event_key"), *VIDEO_EVENTS.names)
+    return _page(video_events(spark, d), *VIDEO_EVENTS.names)
 
 
 def union_pages(spark, d):
@@ -50,6 +51,16 @@ def union_pages(spark, d):
     return landing.feed_rows(_event_pages(spark, d), VIDEO_EVENTS)
 
 
+def pages_split(spark, d):
+    """Event pages and web pages landed together; the web pages are set aside."""
+    web = table(spark, d, "pages").select(F.col("html").alias("body"))
+    split = landing.split_pages(_event_pages(spark, d).unionByName(web))
+    events = landing.feed_rows(split.valid, VIDEO_EVENTS).select("event_key", F.lit(None).cast("string").alias("bad"))
+    return events.unionByName(
+        split.quarantine.select(F.lit(None).cast("string").alias("event_key"), F.md5("body").alias("bad"))
+    )
+
+
 def event_feed(spark, d):
     """Pages to clean rows since the day before, for two media."""
     rows = v.bronze_events(_event_pages(spark, d), DAY, ["1-URGENT", "5-LOW"])
@@ -65,14 +76,14 @@ def stats_feed(spark, d):
 
 def visitor_feed(spark, d):
     """Orders as visitors who came on the order's day."""
-    rows = table(spark, d, "orders").select(
+    rows = tables.spread(table(spark, d, "orders"), "o_orderkey").select(
         text_of("o_orderkey").alias("visitor_key"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.lit(None).cast("string").alias("last_active_at"),
         F.col("o_custkey").alias("load_count"),
         F.col("o_orderkey").alias("play_count"),
     )
-    pages = _page(tables.spread(rows, "visitor_key"), *VISITORS.names)
+    pages = _page(rows, *VISITORS.names)
     return first_per_key(v.bronze_visitors(pages, DAY), ["visitor_key"])
 
 
@@ -173,6 +184,12 @@ QUERIES = {
         f"""WITH {VIDEO_SQL} SELECT {_EVENT_COLUMNS} FROM video_events
         UNION ALL SELECT {_EVENT_COLUMNS} FROM video_events""",
     ),
+    "pages_split": (
+        pages_split,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS event_key, CAST(NULL AS VARCHAR) AS bad FROM orders
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL FROM orders
+        UNION ALL SELECT NULL, md5(html) FROM pages""",
+    ),
     "event_feed": (
         event_feed,
         f"""WITH {VIDEO_SQL} SELECT {_EVENT_COLUMNS} FROM video_events

@@ -8,6 +8,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions import documents
 from millrace.plans.bookings import booking_mart
@@ -35,8 +36,15 @@ def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is inferred once, which saves a job per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -120,7 +128,7 @@ def visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def video_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as video views."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received_at"),
         text_of("o_orderkey").alias("event_key"),
         F.concat(F.lit("10.0.0."), (F.col("o_custkey") % 250).cast("string")).alias("ip"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import documents, text
+from millrace.operators.required import Split, split_required
 from millrace.schemas import SPEND
 
 
@@ -49,15 +50,28 @@ def invitee_id_of(body: Column) -> Column:
     return text.last_segment(documents.field(documents.parse(body), "payload.uri"))
 
 
+def split_pages(pages: DataFrame, page: str = "body") -> Split:
+    """Pages that are JSON arrays, and the others, which ``feed_rows`` would stop at."""
+    parsed = documents.with_parsed(pages, page, "__doc")
+    array = F.col("__doc").try_cast("array<variant>").isNotNull()
+    valid, quarantine = split_required(parsed, {"array": array})
+    return Split(valid.drop("__doc"), quarantine.drop("__doc"))
+
+
+def _array_of(row_schema: T.StructType, body: Column) -> Column:
+    """JSON array of objects, every field as text; a body that is none raises."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in row_schema])
+    return F.from_json(body, T.ArrayType(as_text), {"mode": "FAILFAST"})
+
+
 def feed_rows(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> DataFrame:
     """One row per element of the JSON arrays in ``page``, typed by ``row_schema``.
 
     Numbers are read as text first, because a feed may send ``"0.5"`` as well as ``0.5``.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in row_schema])
     parsed = pages.select(
         *[c for c in pages.columns if c != page and c not in row_schema.names],
-        F.explode(F.from_json(F.col(page), T.ArrayType(as_text))).alias("r"),
+        F.explode(_array_of(row_schema, F.col(page))).alias("r"),
     )
     rest = [c for c in parsed.columns if c != "r"]
     return parsed.select(*rest, *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in row_schema])
@@ -75,10 +89,7 @@ def media_feed_rows(
 def spend_rows(files: DataFrame, body: str = "body") -> DataFrame:
     """Spend rows of JSON array files, with file and position to keep the array order."""
     kept = [c for c in ("file_path",) if c in files.columns]
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in SPEND])
-    rows = files.select(
-        *kept, F.posexplode(F.from_json(F.col(body), T.ArrayType(as_text))).alias("pos", "r")
-    )
+    rows = files.select(*kept, F.posexplode(_array_of(SPEND, F.col(body))).alias("pos", "r"))
     return rows.select(
         *kept, "pos", *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in SPEND]
     )

@@ -9,7 +9,7 @@ import pytest
 
 from millrace.plans import video as v
 from millrace.schemas import MEDIA_STATS, VIDEO_EVENTS, VIDEO_GOLD, VISITORS
-from millrace.sources import tables
+from millrace.sources import landing, tables
 
 DAY = "2026-03-11"
 
@@ -66,6 +66,17 @@ def test_feeds(feeds):
         assert [(f.name, f.dataType) for f in feeds[name].schema] == [(f.name, f.dataType) for f in schema]
 
 
+def test_bad_pages_are_set_aside_and_never_lost(frame):
+    good, bad = json.dumps([event("e1")]), ["{cut", '{"error": "limit"}', "[1, 2"]
+    rows = frame([(x,) for x in (good, "[]", *bad)], "body string")
+    split = landing.split_pages(rows)
+    assert sorted(r.body for r in split.valid.collect()) == sorted([good, "[]"])
+    assert sorted(r.body for r in split.quarantine.collect()) == sorted(bad)
+    assert landing.feed_rows(split.valid, VIDEO_EVENTS).count() == 1
+    with pytest.raises(Exception, match="MALFORMED"):
+        landing.feed_rows(rows.where("body like '{cut%'"), VIDEO_EVENTS).collect()
+
+
 def test_media_choice(frame):
     rows = v.bronze_events(pages(frame, [event("a"), event("b", media="m2")]), DAY, ["m2"])
     assert [r.event_key for r in rows.collect()] == ["b"]
