@@ -89,8 +89,12 @@ def hot_keys(
 
 
 def _part_of(df: DataFrame, keys: Sequence[str], hot: HotKeys, spread_by: Sequence[str]) -> DataFrame:
-    """Give each row of a hot key one part, by a hash of the columns that tell rows apart."""
-    mark = F.xxhash64(*spread_by)
+    """Give each row of a hot key one part, by a hash of the columns that tell rows apart.
+
+    The input partition goes into the hash, so that identical copies part as well. It is the same
+    when a lost task runs again, unlike a random number.
+    """
+    mark = F.xxhash64(*spread_by, F.spark_partition_id())
     part = F.when(F.col(_PARTS).isNotNull(), F.pmod(mark, F.col(_PARTS)))
     if hot.nulls:
         part = part.when(~_no_null(keys), F.pmod(mark, F.lit(NULL_PARTS)))

@@ -25,10 +25,20 @@ def bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFram
 
 
 def stream_bodies(
-    spark: SparkSession, path: str, whole_files: bool = True, files_per_batch: int = 100_000
+    spark: SparkSession,
+    path: str,
+    whole_files: bool = True,
+    files_per_batch: int = 100_000,
+    archive: str | None = None,
 ) -> DataFrame:
-    """The same as a stream of newly arrived files."""
+    """The same as a stream of newly arrived files.
+
+    With ``archive``, a folder outside ``path``, Spark moves finished files there, so that the
+    landing folder does not grow and each listing stays short.
+    """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return _with_file(reader.text(path, wholetext=whole_files))
 
 

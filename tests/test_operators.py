@@ -108,12 +108,12 @@ def test_hot_keys_are_bounded(frame):
     assert found.parts.count() == 7 and not found.nulls
 
 
-def test_identical_copies_of_a_hot_key_all_survive(frame):
-    right = [(1, 5)] * 30
-    got = joins.skew_left_join(
-        frame([(1, 0)], "k int, a int"), frame(right, "k int, b int"), ["k"], ["b"], hot_rows=4
-    )
+def test_identical_copies_of_a_hot_key_all_survive_and_part(frame):
+    right = frame([(1, 5)] * 30, "k int, b int")
+    got = joins.skew_left_join(frame([(1, 0)], "k int, a int"), right, ["k"], ["b"], hot_rows=4)
     assert got.count() == 30
+    parts = joins._part_of(right, ["k"], joins.hot_keys(right, ["k"], hot_rows=4), ["b"])
+    assert parts.select("__part").distinct().count() > 1
 
 
 def test_is_small_counts_rows_and_bytes(frame):

@@ -74,6 +74,19 @@ def test_small_dimension_is_broadcast_and_large_is_not(spark, frame):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_large_insert_shuffles_each_side_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = views.table(spark, SF_DIR, "orders")
+        target = views.table(spark, SF_DIR, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+        text = plan(joins.insert_if_absent(new, target, "o_orderkey", broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = text.split("(1) Scan")[0]
+    assert len(re.findall(r"\bExchange\b", tree)) == 2 and "LeftAnti" in tree
+    assert "ReadSchema: struct<l_orderkey:bigint>" in text
+
+
 def test_documents_are_parsed_once(spark):
     rows = views.table(spark, SF_DIR, "events").select(views.booking_body().alias("body"))
     from millrace.plans.bookings import booking_silver

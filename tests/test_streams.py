@@ -152,6 +152,16 @@ def test_second_delivery_is_not_inserted_again(spark, folder):
     assert spark.read.parquet(f"{root}/outbox").count() == 2
 
 
+def test_archived_files_are_read_once(spark, folder, spend):
+    inbox, root = folder("inbox"), folder("out")
+    for n in range(3):
+        put(inbox, f"{n}.json", booking(f"i{n}"))
+        stream = landing.stream_bodies(spark, inbox, archive=folder("done"))
+        flows.run_bookings(spark, stream, root, spend, "2024-01-15")
+    assert set(gold(spark, root)) == {"i0", "i1", "i2"}
+    assert spark.read.parquet(f"{root}/bronze").count() == 3
+
+
 def test_bodies_by_line(spark, folder):
     inbox = folder("inbox")
     put(inbox, "many.json", booking("a") + "\n" + booking("b"))
