@@ -2,8 +2,8 @@
 
 A left outer join cannot be helped by adaptive skew handling when the hot key sits on the right,
 because splitting that side would give false unmatched rows. ``skew_left_join`` splits such keys
-itself. Sizes are measured before the plan is chosen: counts of scans are cheap and pruned to
-the key columns.
+itself. Sizes are measured before the plan is chosen; that reads the key columns, or for small
+dimensions the whole of them.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 1_000_000
 # No table can have more keys than this above total / MOST_HOT_KEYS rows: bounds the hot-key list.
 MOST_HOT_KEYS = 10_000
+# Rows that the search for hot keys counts; of a larger table it counts a sample of this size.
+COUNTED_ROWS = 50_000_000
 # Parts that rows with a null key are spread over; they match nothing.
 NULL_PARTS = 1_000
 
@@ -62,24 +64,34 @@ class HotKeys(NamedTuple):
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT_KEYS
+    df: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    most: int = MOST_HOT_KEYS,
+    counted_rows: int = COUNTED_ROWS,
 ) -> HotKeys | None:
     """Keys with too many rows for one task; None when there are none.
 
-    The threshold is the larger of ``hot_rows`` and total / ``most``, so at most ``most`` keys can
-    pass it whatever the data: the list is safe to bring to the driver and to broadcast. A table
-    that is itself below the threshold is not looked into.
+    The threshold is the larger of ``hot_rows`` and total / ``most``, so about ``most`` keys can
+    pass it at most, whatever the data: the list is safe to bring to the driver and to broadcast.
+    A table that is itself below the threshold is not looked into. Of a very large one a sample is
+    counted, which settles only how its rows are dealt out: whether a key is split or not, all of
+    its rows are joined, and a key in the sample is a key in the table.
     """
     wanted = df.select(*keys)
     total = wanted.count()
     threshold = max(hot_rows, math.ceil(total / most))
     if total <= threshold:
         return None
+    share = min(1.0, counted_rows / total)
+    if share < 1.0:
+        wanted = wanted.sample(share, seed=1)
+    limit = max(1.0, threshold * share)
     heavy = (
         wanted.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(_PARTS))
-        .where(F.col(_PARTS) > threshold)
-        .withColumn(_PARTS, F.ceil(F.col(_PARTS) / threshold).cast("int"))
+        .where(F.col(_PARTS) > limit)
+        .withColumn(_PARTS, F.ceil(F.col(_PARTS) / limit).cast("int"))
     )
     found = heavy.collect()
     if not found:

@@ -108,6 +108,19 @@ def test_hot_keys_are_bounded(frame):
     assert found.parts.count() == 7 and not found.nulls
 
 
+def test_hot_keys_of_a_sample_change_no_result(frame, monkeypatch):
+    right = [(i % 2 and i, i) for i in range(400)]
+    left = [(k, k) for k in range(400)]
+    found = joins.hot_keys(frame(right, "k int, b int"), ["k"], hot_rows=50, counted_rows=100)
+    assert [r.k for r in found.parts.collect()] == [0]
+    search = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda df, keys, rows: search(df, keys, rows, counted_rows=100))
+    got = joins.skew_left_join(
+        frame(left, "k int, a int"), frame(right, "k int, b int"), ["k"], ["b"], hot_rows=50
+    )
+    assert bag(got) == left_join(left, right)
+
+
 def test_identical_copies_of_a_hot_key_all_survive_and_part(frame):
     right = frame([(1, 5)] * 30, "k int, b int")
     got = joins.skew_left_join(frame([(1, 0)], "k int, a int"), right, ["k"], ["b"], hot_rows=4)
