@@ -37,6 +37,38 @@ def bronze_visitors(pages: DataFrame, as_of: date | str | None) -> DataFrame:
     return recent_visitors(landing.feed_rows(pages, VISITORS), as_of)
 
 
+def ingest(
+    spark: SparkSession,
+    landed: str,
+    bronze: str,
+    day: date | str,
+    media: Iterable[str] | DataFrame | None = None,
+) -> list[str]:
+    """The day's landed pages of every feed to bronze; returns the tables written.
+
+    Pages lie under ``landed/<table>/ingest_date=<day>``, those of the daily figures one level
+    deeper under ``media_id=<id>``. A feed without pages is skipped. Pages that are no JSON arrays
+    go to ``bronze/bad_pages``.
+    """
+    flatten = {
+        "visitors": lambda pages: bronze_visitors(pages, day),
+        "events": lambda pages: bronze_events(pages, day, media),
+        "media_stats": lambda pages: bronze_stats(pages, day, media),
+    }
+    written = []
+    for table, rows_of in flatten.items():
+        folder = f"{landed}/{table}/{tables.DAY}={day}"
+        pages = tables.if_present(lambda: landing.read_pages(spark, folder))
+        if pages is None:
+            continue
+        split = landing.split_pages(pages)
+        bad = split.quarantine.select("body", "reasons", F.lit(table).alias("feed"))
+        tables.write_layer(tables.with_day(bad, day), f"{bronze}/bad_pages", [tables.DAY, "feed"])
+        if write_bronze(rows_of(split.valid), bronze, table, day):
+            written.append(table)
+    return written
+
+
 def write_bronze(rows: DataFrame, root: str, table: str, day: date | str) -> bool:
     """Write the day's rows of one table by media; False, and no write, when there are none."""
     if not tables.has_rows(rows):

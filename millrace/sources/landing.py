@@ -60,6 +60,11 @@ def invitee_id_of(body: Column) -> Column:
     return text.last_segment(documents.field(documents.parse(body), "payload.uri"))
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Page files of a feed as ``body``, with the columns that its folders name."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
+
+
 def split_pages(pages: DataFrame, page: str = "body") -> Split:
     """Pages that are JSON arrays, and the others, which ``feed_rows`` would stop at."""
     parsed = documents.with_parsed(pages, page, "__doc")

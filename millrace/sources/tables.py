@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -45,17 +45,20 @@ def with_day(df: DataFrame, day: date | str) -> DataFrame:
     return df.withColumn(DAY, F.lit(str(day)).cast("date"))
 
 
-def optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path``, or an empty one of that schema when the path does not exist.
-
-    Any other failure is raised.
-    """
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None when its path does not exist; other failures are raised."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, or an empty one of that schema when the path does not exist."""
+    table = if_present(lambda: spark.read.schema(schema).parquet(path))
+    return spark.createDataFrame([], schema) if table is None else table
 
 
 def read_day(spark: SparkSession, path: str, day: date | str, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,12 +39,7 @@ def stream_log(
 ) -> DataFrame | None:
     """A log as a stream: what one layer writes starts the next. None before the first write."""
     reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch)
-    try:
-        return reader.parquet(root).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return tables.if_present(lambda: reader.parquet(root).select(*schema.names))
 
 
 def latest(log: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
