@@ -193,20 +193,27 @@ def insert_if_absent(
     ones already present, and only those meet the batch again.
     """
     fresh = first_per_key(new, [key], order_by)
-    present = docs_for_keys(new, target.select(key), key, broadcast_rows)
+    present = narrowed(target.select(key), new, key, broadcast_rows)
     # distinct: a key that fills the target must not fill one task of the join
     return fresh.join(present.distinct(), key, "left_anti")
 
 
 def docs_for_keys(
-    wanted: DataFrame, docs: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+    wanted: DataFrame, docs: DataFrame, key: str, spread_by: Sequence[str], **limits
 ) -> DataFrame:
-    """Documents that a batch may need, read as a set instead of one by one.
+    """Exactly the documents whose key is wanted, read as a set instead of one by one."""
+    return keep_matching(docs, wanted, key, spread_by, **limits)
 
-    A small batch filters the documents where they are scanned, without a shuffle. For a large
-    one all documents are passed on: the join that follows finds the partners anyway.
+
+def narrowed(
+    rows: DataFrame, batch: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``rows`` ahead of a join with ``batch``: at least all that the batch can meet.
+
+    A small batch filters the rows where they are scanned, without a shuffle. For a large one all
+    rows are passed on: the join that follows finds the partners anyway.
     """
-    keys = wanted.select(key)
+    keys = batch.select(key)
     if is_small(keys, broadcast_rows):
-        return docs.join(F.broadcast(keys.distinct()), key, "left_semi")
-    return docs
+        return rows.join(F.broadcast(keys.distinct()), key, "left_semi")
+    return rows

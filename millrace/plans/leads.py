@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import documents, text
-from millrace.operators.joins import docs_for_keys, insert_if_absent, lookup_join
+from millrace.operators.joins import insert_if_absent, lookup_join, narrowed
 from millrace.operators.required import Split, split_required
 from millrace.schemas import ARRIVAL, LEAD_GOLD
 
@@ -23,7 +23,7 @@ def lead_silver(bronze: DataFrame, owners: DataFrame) -> DataFrame:
     broadcast; a small batch of leads first picks its owners out where they are scanned.
     """
     owner = owners.select(F.col("lead_id").alias("doc_id"), F.col("owner").alias(_OWNER))
-    owner = docs_for_keys(bronze, owner, "doc_id")
+    owner = narrowed(owner, bronze, "doc_id")
     arrival = [c for c in ARRIVAL if c in bronze.columns]
     joined = lookup_join(
         bronze, owner, ["doc_id"], spread_by=arrival or ["body"], broadcast_rows=0

@@ -112,7 +112,7 @@ def load_bookings(spark, d):
 def point_read(spark, d):
     """Documents that have a label, read by key."""
     docs = table(spark, d, "documents").select("doc_id", F.md5("text").alias("text_md5"))
-    return docs_for_keys(table(spark, d, "labels"), docs, "doc_id")
+    return docs_for_keys(table(spark, d, "labels"), docs, "doc_id", spread_by=["text_md5"])
 
 
 QUERIES = {

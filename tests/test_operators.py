@@ -101,6 +101,14 @@ def test_keep_matching(frame, broadcast_rows, hot_rows):
     assert bag(got) == Counter(r for r in HOT if r[0] == 1)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_docs_for_keys_is_exact_for_any_size(frame, broadcast_rows):
+    docs = frame([(1, "a"), (2, "b"), (2, "b2"), (3, "c")], "k int, v string")
+    wanted = frame([(2,), (2,), (9,), (None,)], "k int")
+    got = joins.docs_for_keys(wanted, docs, "k", ["v"], broadcast_rows=broadcast_rows)
+    assert bag(got) == Counter([(2, "b"), (2, "b2")])
+
+
 def test_hot_keys_are_bounded(frame):
     rows = frame([(i % 7,) for i in range(700)], "k int")
     assert joins.hot_keys(rows, ["k"], hot_rows=50, most=3) is None
