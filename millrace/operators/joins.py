@@ -34,11 +34,13 @@ _PART = "__part"
 _HIT = "__hit"
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
     """Whether ``df`` may be broadcast, by a distributed count of its rows and bytes.
 
     ``rows=0`` says no without looking.
     """
+    rows = BROADCAST_ROWS if rows is None else rows
+    size = BROADCAST_BYTES if size is None else size
     if rows == 0:
         return False
     texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
@@ -66,9 +68,9 @@ class HotKeys(NamedTuple):
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     most: int = MOST_HOT_KEYS,
-    counted_rows: int = COUNTED_ROWS,
+    counted_rows: int | None = None,
 ) -> HotKeys | None:
     """Keys with too many rows for one task; None when there are none.
 
@@ -78,6 +80,8 @@ def hot_keys(
     counted, which settles only how its rows are dealt out: whether a key is split or not, all of
     its rows are joined, and a key in the sample is a key in the table.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    counted_rows = COUNTED_ROWS if counted_rows is None else counted_rows
     wanted = df.select(*keys)
     total = wanted.count()
     threshold = max(hot_rows, math.ceil(total / most))
@@ -128,7 +132,7 @@ def skew_left_join(
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join where one key may hold much of the right side.
@@ -154,8 +158,8 @@ def lookup_join(
     dimension: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Left outer join of facts to a dimension; a miss gives nulls.
 
@@ -185,7 +189,7 @@ def insert_if_absent(
     target: DataFrame,
     key: str,
     order_by: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``new``, one per key, whose key the target lacks: what an append may add.
 
@@ -206,7 +210,7 @@ def docs_for_keys(
 
 
 def narrowed(
-    rows: DataFrame, batch: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame, batch: DataFrame, key: str, broadcast_rows: int | None = None
 ) -> DataFrame:
     """``rows`` ahead of a join with ``batch``: at least all that the batch can meet.
 

@@ -131,15 +131,14 @@ def video_gold(
     Figures are attached to the events before the visitors are. The result is the same, as the
     figures' keys come from the event, and rows that have no event never enter that join.
     """
-    skew = {} if hot_rows is None else {"hot_rows": hot_rows}
-    enriched = events_with_stats(with_event_day(events), stats, **skew)
+    enriched = events_with_stats(with_event_day(events), stats, hot_rows=hot_rows)
     joined = skew_left_join(
         visitors.select("visitor_key", "created_at", "load_count", "play_count"),
         enriched,
         ["visitor_key"],
         spread_by=["event_key"],
         right_keys=events,
-        **skew,
+        hot_rows=hot_rows,
     )
     return joined.select(*VIDEO_GOLD, "event_date")
 

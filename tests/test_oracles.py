@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_file
+from millrace.operators import joins
 from oracle import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -24,6 +25,25 @@ def test_query_matches_sql(spark, duck, name):
     assert differences(duck, QUERIES[name](spark, SF_DIR), ORACLES[name]) == []
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "video_gold", "visitors_events_left", "events_stats_left", "spend_first_match", "booking_gold",
+        "of_media_table", "point_read", "insert_if_absent", "load_leads", "owner_merge",
+    ],
+)
+def test_query_matches_sql_on_the_routes_for_large_inputs(spark, duck, monkeypatch, name):
+    """Nothing is broadcast, most keys count as hot, and hot keys come from a sample."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 3)
+    monkeypatch.setattr(joins, "COUNTED_ROWS", 400)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert differences(duck, QUERIES[name](spark, SF_DIR), ORACLES[name]) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
