@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Rows handed to a function at once hold about so many bytes of text; a longer text comes alone.
 PART_BYTES = 4 * 1024 * 1024
@@ -22,7 +25,7 @@ def parts(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.Recor
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + size > PART_BYTES:
@@ -32,16 +35,20 @@ def parts(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.Recor
         yield batch.slice(start)
 
 
-def map_parts(docs: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """Run ``function(columns) -> columns`` over parts of a frame; columns are Arrow arrays or lists."""
-    names = [c.split()[0] for c in schema.split(",")]
+def map_parts(docs: DataFrame, function: Callable, schema: str, text: int = 1) -> DataFrame:
+    """Rows of ``schema``, made in each task by ``function()(*columns) -> columns`` from parts of the rows.
+
+    Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
+    """
+    made_as = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         step = function()
-        for part in parts(batches):
+        for part in parts(batches, text):
             made = step(*part.columns)
             if made is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(c) if not isinstance(c, pa.Array) else c for c in made], names)
+                arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(made, made_as, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=made_as)
 
     return docs.mapInArrow(run, schema)
 
