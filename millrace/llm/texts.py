@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from millrace.session import shared_root
+
 # Rows handed to a function at once hold about so many bytes of text; a longer text comes alone.
 PART_BYTES = 4 * 1024 * 1024
 
@@ -20,10 +22,12 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def parts(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a part holds about PART_BYTES of text."""
     for batch in batches:
-        if not batch.num_rows:
+        if text is None or not batch.num_rows:
+            if batch.num_rows:
+                yield batch
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start, held = 0, 0
@@ -35,7 +39,7 @@ def parts(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.Recor
         yield batch.slice(start)
 
 
-def map_parts(docs: DataFrame, function: Callable, schema: str, text: int = 1) -> DataFrame:
+def map_parts(docs: DataFrame, function: Callable, schema: str, text: int | None = 1) -> DataFrame:
     """Rows of ``schema``, made in each task by ``function()(*columns) -> columns`` from parts of the rows.
 
     Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
@@ -53,6 +57,14 @@ def map_parts(docs: DataFrame, function: Callable, schema: str, text: int = 1) -
     return docs.mapInArrow(run, schema)
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared folder of the session (``spark.checkpoint.dir``), their lineage cut."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(rows.sparkSession))
+    return rows.checkpoint()
+
+
 class Cache:
     """A dict of bounded size: when the young half is full it becomes the old half."""
 
