@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, languages, packing, secrets, token_counts, toxicity
+from millrace.llm import decontamination, languages, near_copies, packing, secrets, token_counts, toxicity
 from millrace.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
