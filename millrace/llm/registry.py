@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, languages, near_copies, packing, secrets, token_counts, toxicity
+from millrace.llm import decontamination, embeddings, languages, near_copies, packing, passages, secrets, token_counts, toxicity
 from millrace.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
