@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, embeddings, languages, near_copies, packing, passages, secrets, token_counts, toxicity
+from millrace.llm import byte_repeats, decontamination, embeddings, languages, near_copies, packing, passages, secrets, token_counts, toxicity
 from millrace.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
