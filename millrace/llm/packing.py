@@ -16,13 +16,13 @@ is kept. Without documents there is no sequence.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -39,17 +39,21 @@ SEARCH_NODES, SEARCH_STEPS = 6_000, 400_000
 # Pieces of one length and bucket that are numbered together.
 BUCKET_ROWS = 50_000
 
-# What the vocabulary takes for white space; str.split also cuts at four control characters.
-SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-CONTROLS = re.compile("[\x1c-\x1f]")
+# The tokenizer's own cut of texts; outside BEYOND lower case and letter classes are settled.
+PRETOKEN = regex.compile(r"\p{L}+|'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+")
+BEYOND = regex.compile("[\u0130\u0250-\U0010ffff]")
+ENCODED_AT_ONCE = 20_000
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit bytes, word by word from a bounded cache."""
+    """Ids of texts as little-endian 32-bit bytes, pretoken by pretoken from a bounded cache."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -57,17 +61,27 @@ class WordIds:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encodings]
 
-    def words(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]  # a special string may hold or touch white space of its own: taken whole
-        return [w for w in SPACES.split(text) if w] if CONTROLS.search(text) else text.split()
+    def settled(self, text: str) -> bool:
+        """Whether our cut is the tokenizer's; other texts are given to it whole."""
+        return not BEYOND.search(text) and not any(s in text for s in self.special)
+
+    def encode_pretokens(self, pretokens: list[str]) -> list[bytes]:
+        """Blanks keep pretokens apart, and the last id of each closes a word."""
+        made = []
+        for start in range(0, len(pretokens), ENCODED_AT_ONCE):
+            ids = np.frombuffer(self.encode([" ".join(pretokens[start : start + ENCODED_AT_ONCE])])[0], dtype="<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            data = ids.tobytes()
+            made += [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+        return made
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        missing = list({w for words in split for w in words if w not in self.young})
+        settled = [self.settled(t) for t in texts]
+        split = [PRETOKEN.findall(t.lower()) if own else [] for t, own in zip(texts, settled, strict=True)]
+        missing = list(set().union(*split) - self.young.keys())
         if len(self.young) + len(missing) > WORDS_KEPT:
             self.old, self.young = self.young, {}
-            missing = list({w for words in split for w in words})
+            missing = list(set().union(*split))
         young, old = self.young, self.old
         unknown = []
         for w in missing:
@@ -76,8 +90,11 @@ class WordIds:
                 unknown.append(w)
             else:
                 young[w] = known
-        young.update(zip(unknown, self.encode(unknown), strict=True))
-        return [b"".join([young[w] for w in words]) for words in split]
+        young.update(zip(unknown, self.encode_pretokens(unknown), strict=True))
+        return [
+            b"".join([young[w] for w in words]) if own else self.encode([text])[0]
+            for text, words, own in zip(texts, split, settled, strict=True)
+        ]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, closing: int = CLOSING, tokenizer: str = TOKENIZER) -> DataFrame:
