@@ -24,14 +24,17 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from millrace.llm.texts import checkpointed, crc_of_id, documents, map_parts
+from millrace.llm.texts import checkpointed, crc_of_id, documents, map_parts, with_rows
 
 VOCABULARY = "piece_bpe_32k.model"
 TRAINING_DOCS = 1_000
 ROUNDS = 2
 SMOOTHING = 0.05
-WORDS_KEPT = 250_000
+WORDS_KEPT = 600_000
+# After fitting, pieces of several letters that are expected less often than this in every language are dropped.
+LEAST_EXPECTED = 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's sign of a word start
 UNKNOWN = "und"
@@ -90,9 +93,43 @@ class Pieces:
                 scale[-1] -= math.log(factor)
         return sums, scale
 
-    def log_likelihood(self, word: str) -> list[float]:
-        sums, scale = self.forward(word)
-        return [math.log(x) + scale[-1] if x > 0 else -1e9 for x in sums[-1]]
+    def log_likelihoods(self, words: list[str]) -> list[list[float]]:
+        """The logs of the last sums of ``forward``, word by word; sorted words share the sums of their common beginning."""
+        table, longest, piece = self.table, self.longest, self.piece
+        languages = range(len(self.zero))
+        made, before = [], ""
+        found_at: list[list] = []
+        sums: list[list[float]] = [[1.0] for _ in languages]
+        for word in words:
+            n, same = len(word), 0
+            if n > LONGEST_TRAINED:
+                last, scale = self.forward(word)
+                made.append([math.log(x) + scale[-1] if x > 0 else -1e9 for x in last[-1]])
+                continue
+            while same < n and before[same : same + 1] == word[same]:
+                same += 1
+            del found_at[same:]
+            for end in range(same + 1, n + 1):
+                found = []
+                for start in range(end - longest if end > longest else 0, end - 1):
+                    p = table.get(word[start:end])
+                    if p is not None:
+                        found.append((start, p))
+                found.append((end - 1, piece(word[end - 1])))
+                found_at.append(found)
+            row = []
+            for k in languages:
+                own = sums[k]
+                del own[same + 1 :]
+                for found in found_at[same:]:
+                    total = 0.0
+                    for start, p in found:
+                        total += own[start] * p[k]
+                    own.append(total)
+                row.append(math.log(own[-1]) if own[-1] > 0 else -1e9)
+            made.append(row)
+            before = word
+        return made
 
     def expected(self, word: str) -> dict[str, float]:
         """Expected number of each piece in a word (first language of the table only)."""
@@ -115,7 +152,7 @@ class Pieces:
         return counts
 
 
-LONGEST_TRAINED = 60  # words beyond this length are left out of the expected counts, whose sums are not scaled
+LONGEST_TRAINED = 60  # words beyond this length are left out of the expected counts; sums within it need no scale
 
 
 def words_of(text: str | None) -> list[str]:
@@ -169,50 +206,59 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, training_docs: int = TRAI
             counts[place[row.piece], languages.index(row.lang)] += row.n
         chances = counts / counts.sum(axis=0)
         table = {p: tuple(map(float, chances[i])) for i, p in enumerate(names)}
-    return languages, table
+    often = counts.max(axis=1) >= LEAST_EXPECTED
+    return languages, {p: v for p, v in table.items() if often[place[p]] or len(p) == 1 or p.startswith("<0x")}
 
 
-def language_scores(docs: DataFrame, languages: list[str], table: dict) -> DataFrame:
-    """doc_id, text, lang_pred, score of every text."""
-    known = docs.sparkSession.sparkContext.broadcast(table)
+def language_scores(rows: DataFrame, languages: list[str], table: dict, passed: StructType) -> DataFrame:
+    """Rows (doc_id, text, one more column) to that column, lang_pred and score; ``passed`` is the schema of the column."""
+    known = rows.sparkSession.sparkContext.broadcast(table)
 
     def begin():
         model = Pieces(known.value, len(languages)) if languages else None
         place: dict[str, int] = {}
-        rows = np.zeros((1024, max(1, len(languages))))
+        sums_of = np.zeros((1024, max(1, len(languages))))
 
-        def step(ids, texts):
-            nonlocal rows
+        def step(_ids, texts, more):
+            nonlocal sums_of
             split = [words_of(t) for t in texts.to_pylist()]
             flat = [w for words in split for w in words]
             if model is None or not flat:
-                return ids, texts, [UNKNOWN] * len(split), [0.0] * len(split)
-            missing = list(set(flat) - place.keys())
+                return more, [UNKNOWN] * len(split), [0.0] * len(split)
+            missing = sorted(set(flat) - place.keys())
             if len(place) + len(missing) > WORDS_KEPT:
                 place.clear()
-                missing = list(set(flat))
-            if len(place) + len(missing) > len(rows):
-                rows = np.concatenate([rows, np.zeros((len(place) + len(missing), len(languages)))])
-            for word in missing:
-                place[word] = at = len(place)
-                rows[at] = model.log_likelihood(START + word)
+                missing = sorted(set(flat))
+            if len(place) + len(missing) > len(sums_of):
+                sums_of = np.concatenate([sums_of, np.zeros((len(place) + len(missing), len(languages)))])
+            if missing:
+                sums_of[len(place) : len(place) + len(missing)] = model.log_likelihoods([START + w for w in missing])
+                place.update(zip(missing, range(len(place), len(place) + len(missing)), strict=True))
             sizes = np.array([len(words) for words in split])
             at = np.fromiter(map(place.__getitem__, flat), dtype=np.int64, count=len(flat))
             sums = np.zeros((len(split), len(languages)))
             full = np.flatnonzero(sizes)
-            sums[full] = np.add.reduceat(rows[at], np.cumsum(sizes)[full] - sizes[full], axis=0)
+            sums[full] = np.add.reduceat(sums_of[at], np.cumsum(sizes)[full] - sizes[full], axis=0)
             best = sums.argmax(axis=1)
             score = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
             score[sizes == 0] = 0
-            return ids, texts, [languages[b] if n else UNKNOWN for b, n in zip(best, sizes, strict=True)], score
+            return more, [languages[b] if n else UNKNOWN for b, n in zip(best, sizes, strict=True)], score
 
         return step
 
-    return map_parts(documents(docs), begin, "doc_id bigint, text string, lang_pred string, score double")
+    return map_parts(rows, begin, StructType(passed.fields).add("lang_pred", "string").add("score", "double"))
 
 
 def identify(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
     languages, table = fit(docs, training_docs=training_docs)
-    scored = language_scores(docs, languages, table)
+    rows = documents(docs).select("doc_id", "text", F.col("doc_id").alias("id"))
+    scored = language_scores(rows, languages, table, rows.select("id").schema).withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", (crc_of_id() % 3 == 1).alias("held_out"), "lang_pred", "score")
+
+
+def in_known_language(docs: DataFrame, least_score: float = 0.5, training_docs: int = TRAINING_DOCS) -> DataFrame:
+    """The rows of ``docs`` whose text has a language that could be learned, by a posterior of ``least_score`` at least."""
+    rows, passed = with_rows(docs)
+    scored = language_scores(rows, *fit(docs, training_docs=training_docs), passed)
+    return scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -39,12 +40,12 @@ def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1) -> Iterator[p
         yield batch.slice(start)
 
 
-def map_parts(docs: DataFrame, function: Callable, schema: str, text: int | None = 1) -> DataFrame:
+def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, text: int | None = 1) -> DataFrame:
     """Rows of ``schema``, made in each task by ``function()(*columns) -> columns`` from parts of the rows.
 
     Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
     """
-    made_as = to_arrow_schema(StructType.fromDDL(schema))
+    made_as = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
         step = function()
@@ -83,6 +84,23 @@ class Cache:
         return found
 
 
+def with_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, StructType]:
+    """doc_id, text and ``row``, the whole row, for steps that hand rows on; and the schema of ``row`` alone."""
+    rows = documents_and(docs, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows, StructType([rows.schema["row"]])
+
+
+def documents_and(docs: DataFrame, id_col: str, text_col: str, more: Column) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), more)
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once as Parquet under the shared folder of the session, and read again."""
+    path = f"{shared_root(rows.sparkSession)}/millrace-llm/{name}-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def crc_of_id() -> Column:
     """crc32 of doc_id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
