@@ -18,10 +18,11 @@ import hashlib
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import documents, map_parts
+from millrace.llm.texts import documents, map_parts, with_rows
 
 WINDOW = 10
 # About ten trie nodes of 40 bytes for each byte of item text.
@@ -121,28 +122,35 @@ def _scanned(docs: DataFrame, items: list[tuple[str, str]], window: int, keyed:
     return map_parts(docs, start, SCANNED)
 
 
+def _items(benchmark: DataFrame, item_col: str = "item_id") -> DataFrame:
+    item = F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item")
+    return benchmark.select(item, F.col("text").cast("string").alias("text")).where("text is not null")
+
+
+def _item_parts(items: DataFrame, part_bytes: int) -> list[list[tuple[str, str]]]:
+    """Items in parts of about ``part_bytes`` of text, each small enough for one automaton."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pieces = max(1, -(-size // part_bytes))
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(pieces)))
+    return [[(r.item, r.text) for r in dealt.where(F.col("part") == part).collect()] for part in range(pieces)]
+
+
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, item_col: str = "item_id"
 ) -> DataFrame:
     """Per document: n_words, hit_spans (word numbers and code point offsets of hit runs), items (sorted texts of ids)."""
-    items = benchmark.select(
-        F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")
-    ).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     texts = documents(docs)
-    pieces = -(-size // part_bytes)
-    if pieces <= 1:
-        return _scanned(texts, [tuple(r) for r in items.collect()], window, keyed=False).drop("text_key")
-    items = items.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(pieces)))
+    parts = _item_parts(_items(benchmark, item_col), part_bytes)
+    if len(parts) == 1:
+        return _scanned(texts, parts[0], window, keyed=False).drop("text_key")
     found = None
-    for part in range(pieces):
-        of_part = [(r.item, r.text) for r in items.where(F.col("part") == part).collect()]
+    for of_part in parts:
         one = _scanned(texts, of_part, window, keyed=True)
         found = one if found is None else found.unionByName(one)
     together = found.groupBy("doc_id", "text_key", "n_words").agg(
         F.array_distinct(F.flatten(F.collect_list("hit_spans"))).alias("hit_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count(F.lit(1)) / pieces).cast("int").alias("copies"),
+        (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
     )
     each = together.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     return each.select("doc_id", "n_words", "hit_spans", "items")
@@ -161,3 +169,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
         (F.size("hit_spans") > 0).alias("contaminated"),
         "hit_spans",
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that hold no window of the benchmark."""
+    items = _items(benchmark)
+    kept = docs
+    for part in _item_parts(items, PART_BYTES):
+        rows, passed = with_rows(kept)
+        shared = docs.sparkSession.sparkContext.broadcast(part)
+
+        def begin(shared=shared):
+            made = automaton(shared.value, window)
+            made = made if len(made) else None
+
+            def step(_ids, texts, more):
+                clean = [not scan((t or "").encode().translate(NORMAL), made)[2] for t in texts.to_pylist()]
+                return (more.filter(pa.array(clean)),)
+
+            return step
+
+        kept = map_parts(rows, begin, passed).select("row.*")
+    return kept

@@ -21,7 +21,7 @@ import hashlib
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing
@@ -210,3 +210,14 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bl
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of near copies; of rows that share an id one stays.
+
+    Rows without an id stay, for they are linked with nothing.
+    """
+    kept = near_copies(docs, size, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    alone = Window.partitionBy("doc_id").orderBy(F.length("text"), "text")
+    stay = docs.join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(alone)).where("_place = 1")
+    return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))

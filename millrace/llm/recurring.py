@@ -15,7 +15,6 @@ The tables that several later steps need are written to the shared folder once.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import map_parts
-from millrace.session import shared_root
+from millrace.llm.texts import map_parts, written
 
 # Segments of one anchor in a slot of its shard.
 SLOT_ROWS = 20_000
@@ -46,13 +44,6 @@ def unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at >> (CHECK_BITS + COUNT_BITS), (at >> CHECK_BITS) & ((1 << COUNT_BITS) - 1), at & ((1 << CHECK_BITS) - 1)
 
 
-def written(rows: DataFrame, name: str) -> DataFrame:
-    """Rows written once under the shared folder and read again."""
-    path = f"{shared_root(rows.sparkSession)}/millrace-llm/{name}-{uuid.uuid4().hex}"
-    rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.parquet(path)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """doc, text; the id under which tables of this module are joined."""
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
