@@ -136,24 +136,54 @@ class Restorer:
         lattice = self.options(stretch)
         return "".join(self.decode(lattice[k : k + LONGEST]) for k in range(0, len(lattice), LONGEST))
 
-    def restore(self, low: str) -> list[str]:
-        """Restored words of the disguised stretches of a text in lower case."""
+    def restore(self, low: str, mixed: bool = True, repeated: bool = True, spaced: bool = True) -> list[str]:
+        """Restored words of the disguised stretches of a text in lower case; the flags say what it may hold."""
         found = []
-        if MIXED.search(low):
+        if mixed and MIXED.search(low):
             found += [m.group() for m in STRETCH.finditer(low)]
-        found += [m.group() for m in REPEATED.finditer(low)]
-        found += [m.group() for m in SPACED.finditer(low)]
+        if repeated:
+            found += [m.group() for m in REPEATED.finditer(low)]
+        if spaced:
+            found += [m.group() for m in SPACED.finditer(low)]
         return [w for stretch in found for w in WORD.findall(self.restored.get(stretch))]
 
 
+LETTER, SIGN, GAP = 1, 2, 4
+_KINDS = np.zeros(0x10000, dtype=np.uint8)
+for _c in range(0x10000):
+    # halves of characters beyond count as letters, so that nothing is overlooked
+    _KINDS[_c] = SIGN if chr(_c) in LOOKALIKE else LETTER if chr(_c).isalpha() or 0xD800 <= _c < 0xE000 else GAP if chr(_c) in " .-_" else 0
+
+
+def disguises(lows: list[str]) -> list[tuple[bool, bool, bool]]:
+    """For each text whether it may hold look-alikes, repeated letters, spaced letters; all texts are looked at at once."""
+    packed = [t.encode("utf-16-le", "surrogatepass") for t in lows]
+    begins = np.cumsum([0, *(len(p) // 2 + 8 for p in packed)])
+    codes = np.frombuffer((b"\n\x00" * 8).join([*packed, b""]) + b"\n\x00" * 8, dtype="<u2")
+    kind = _KINDS[codes]
+    letter, sign, gap = kind == LETTER, kind == SIGN, kind == GAP
+    mixed = (sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:])
+    repeated = letter[:-2] & (codes[:-2] == codes[1:-1]) & (codes[1:-1] == codes[2:])
+    single = letter | sign
+    spaced = single[:-4] & gap[1:-3] & single[2:-2] & gap[3:-1] & single[4:]
+    flags = []
+    for found in (mixed, repeated, spaced):
+        here = np.zeros(len(lows), dtype=bool)
+        here[np.searchsorted(begins, np.flatnonzero(found), side="right").clip(1, len(lows)) - 1] = True
+        flags.append(here.tolist())
+    return list(zip(*flags, strict=True))
+
+
 def evidence_of(word: str) -> list[str]:
     """The word itself and its beginnings."""
     return [f"={word}", *(f"{word[:n]}~" for n in BEGINNINGS if len(word) >= n)]
 
 
-def words_of(text: str | None, restorer: Restorer) -> set[str]:
-    low = (text or "").lower()
-    return {*WORD.findall(low), *restorer.restore(low)}
+def words_of(texts: list[str | None], restorer: Restorer) -> tuple[list[list[str]], list[list[str]]]:
+    """Words as written and words as restored of each text."""
+    lows = [(t or "").lower() for t in texts]
+    flags = disguises(lows)
+    return [WORD.findall(low) for low in lows], [restorer.restore(low, *f) if any(f) else [] for low, f in zip(lows, flags, strict=True)]
 
 
 def labelled(docs: DataFrame, labels: DataFrame, training_docs: int) -> DataFrame:
@@ -170,18 +200,27 @@ def labelled(docs: DataFrame, labels: DataFrame, training_docs: int) -> DataFram
     return documents(docs).join(F.broadcast(drawn), "doc_id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int"))
 
 
-def _two_heaviest(words: set[str], weight: Cache) -> tuple[float, float]:
-    first = second = 0.0
-    for word in words:
-        w = weight.get(word)
-        if w > second:
-            first, second = (w, first) if w > first else (first, w)
-    return first, second
-
-
-def _weight_cache(weights: dict[str, float]) -> Cache:
-    get = weights.get
-    return Cache(lambda word: max([get(e, 0.0) for e in evidence_of(word)]), 200_000)
+class Evidence:
+    """Weights of words; all evidence of a word begins as the word does, so most words are passed over by that."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        self.heads = {e[1:5] if e[0] == "=" else e[:4] for e in weights}
+
+    def two_heaviest(self, words: list[list[str]]) -> list[tuple[float, float]]:
+        """The two largest weights among the distinct words of each text."""
+        heads, get = self.heads, self.weights.get
+        heavy = {}
+        for word in set().union(*words):
+            if word[:4] in heads:
+                weight = max(get(e, 0.0) for e in evidence_of(word))
+                if weight > 0:
+                    heavy[word] = weight
+        known, made = set(heavy), []
+        for own in words:
+            found = sorted((heavy[w] for w in known.intersection(own)), reverse=True)[:2]
+            made.append((found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0))
+        return made
 
 
 def fit(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS) -> tuple[np.ndarray, dict[str, float], list[float]]:
@@ -201,9 +240,10 @@ def fit(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS)
 
         def step(_ids, texts, toxic, half):
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for text, t, h in zip(texts.to_pylist(), toxic.to_pylist(), half.to_pylist(), strict=True):
+            written, restored = words_of(texts.to_pylist(), restorer)
+            for a, b, t, h in zip(written, restored, toxic.to_pylist(), half.to_pylist(), strict=True):
                 if h == 0:
-                    counts[t].update({e for w in words_of(text, restorer) for e in evidence_of(w)} | {"#"})
+                    counts[t].update({e for w in {*a, *b} for e in evidence_of(w)} | {"#"})
             names = list(counts[0].keys() | counts[1].keys())
             return names, [counts[1][e] for e in names], [counts[0][e] for e in names]
 
@@ -223,10 +263,12 @@ def fit(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS)
     shared = spark.sparkContext.broadcast(weights)
 
     def begin_held():
-        restorer, weight = Restorer(model.value), _weight_cache(shared.value)
+        restorer, evidence = Restorer(model.value), Evidence(shared.value)
 
         def step(_ids, texts, toxic, half):
-            made = [(t, *_two_heaviest(words_of(x, restorer), weight)) for x, t, h in zip(texts.to_pylist(), toxic.to_pylist(), half.to_pylist(), strict=True) if h == 1]
+            written, restored = words_of(texts.to_pylist(), restorer)
+            heaviest = evidence.two_heaviest([a + b for a, b in zip(written, restored, strict=True)])
+            made = [(t, *pair) for pair, t, h in zip(heaviest, toxic.to_pylist(), half.to_pylist(), strict=True) if h == 1]
             return [list(c) for c in zip(*made, strict=True)] if made else [[], [], []]
 
         return step
@@ -259,18 +301,15 @@ def toxicity_scores(docs: DataFrame, trigrams: np.ndarray, weights: dict[str, fl
 
     def begin():
         counts, known = shared.value
-        restorer, weight = Restorer(counts), _weight_cache(known)
+        restorer, evidence = Restorer(counts), Evidence(known)
 
         def step(ids, texts):
-            scores, restored = [], []
-            for text in texts.to_pylist():
-                low = (text or "").lower()
-                extra = restorer.restore(low)
-                first, second = _two_heaviest({*WORD.findall(low), *extra}, weight)
+            written, extra = words_of(texts.to_pylist(), restorer)
+            scores = []
+            for first, second in evidence.two_heaviest([a + b for a, b in zip(written, extra, strict=True)]):
                 z = curve[0] + curve[1] * first + curve[2] * second
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) if curve[0] > -1e8 else 0.0)
-                restored.append(" ".join(extra))
-            return ids, scores, restored
+            return ids, scores, [" ".join(words) for words in extra]
 
         return step
 
