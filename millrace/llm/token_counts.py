@@ -26,11 +26,12 @@ TOKENIZER = "byte_bpe_50k.json"
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # Stretches whose counts do not depend on what stands around them: pretokens, but a run of white space
 # together with the word after it, for a prefix that ends in the run takes the run as one pretoken.
-UNIT = regex.compile(r"\s\s+\S*|'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s")
+UNIT = regex.compile(r" ?\p{L}+|\s\s+\S*|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s")
 WHOLE_UNIT = regex.compile(r"\s*\S+|\s+")
 # Below this character both libraries know the same letters and numbers.
 PAIRS_KEPT = 500_000
 SETTLED = "\u0500"
+UNSETTLED = regex.compile("[\u0500-\U0010ffff]")
 ODD = regex.compile(r"\s\s|'re|'ve|'ll|[^\x00-\u04FF]")
 
 
@@ -138,7 +139,7 @@ class PrefixCounts:
 
     def found(self, text: str) -> list[tuple[bytes, int]]:
         """Steps and totals along a text without special strings."""
-        if not text or max(text) < SETTLED:
+        if not UNSETTLED.search(text):
             return [self.units.get(u) for u in UNIT.findall(text)]
         # letters that the libraries class differently must not be cut by our own pattern
         return [self.whole_units.get(u) for u in WHOLE_UNIT.findall(text)]
@@ -147,7 +148,7 @@ class PrefixCounts:
         """Changes of the count along a whole text, and its total."""
         if self.split is None or not any(s in text for s in self.special):
             made = self.found(text)
-            return b"".join([steps for steps, _ in made]), sum([n for _, n in made])
+            return b"".join([m[0] for m in made]), sum([m[1] for m in made])
         made, total, before = [], 0, ""
         for piece in self.split.split(text):
             if piece not in self.special:
