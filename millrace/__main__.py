@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +34,13 @@ def parser() -> argparse.ArgumentParser:
     job("video-bronze", "landed", "bronze").add_argument("--media", nargs="*")
     job("video-silver", "bronze", "silver")
     job("video-gold", "silver", "gold")
-    job("bookings", "landed", "root", "spend")
-    job("leads", "landed", "root", "owners", day=False)
-    job("marketing", "root", day=False).add_argument("--table", default="marketing")
+    archived = "folder for the files that have been read"
+    job("bookings", "landed", "root", "spend").add_argument("--archive", help=archived)
+    job("leads", "landed", "root", "owners", day=False).add_argument("--archive", help=archived)
+    job("compact", "root", "out", day=False).add_argument("--previous", help="result of the last run, to go on from")
+    marketing = job("marketing", "root", day=False)
+    marketing.add_argument("--table", default="marketing")
+    marketing.add_argument("--compacted", help="result of the compact job, read in place of the log")
     job("refresh", "mart", day=False).add_argument("--table", default="marketing")
     job("report", "mart", "out").add_argument("--name", choices=REPORTS, required=True)
     return top
@@ -51,14 +56,21 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> object:
     if a.job == "video-gold":
         return video.write_gold(spark, a.silver, a.gold, a.day)
     if a.job == "bookings":
-        spend = landing.read_spend(spark, a.spend)
-        return flows.run_bookings(spark, landing.stream_bodies(spark, a.landed), a.root, spend, a.day)
+        before = date.fromisoformat(a.day) - timedelta(days=1)
+        spend = landing.read_spend(spark, a.spend, str(before))
+        inbox = landing.stream_bodies(spark, a.landed, archive=a.archive)
+        return flows.run_bookings(spark, inbox, a.root, spend, a.day)
     if a.job == "leads":
         owners = landing.read_owners(spark, a.owners)
-        return flows.run_leads(spark, landing.stream_bodies(spark, a.landed), a.root, owners)
+        return flows.run_leads(spark, landing.stream_bodies(spark, a.landed, archive=a.archive), a.root, owners)
+    if a.job == "compact":
+        log = runs.read_log(spark, f"{a.root}/gold", flows.BOOKING_GOLD_LOG)
+        previous = spark.read.parquet(a.previous) if a.previous else None
+        return runs.compact(log, "invitee_id", a.out, previous=previous)
     if a.job == "marketing":
         log = runs.read_log(spark, f"{a.root}/gold", flows.BOOKING_GOLD_LOG)
-        current = runs.latest(log, "invitee_id").drop(runs.BATCH)
+        current = spark.read.parquet(a.compacted) if a.compacted else runs.latest(log, "invitee_id")
+        current = current.drop(runs.BATCH)
         return current.write.mode("overwrite").format("parquet").saveAsTable(a.table)
     if a.job == "refresh":
         return bookings.refresh_mart(spark, a.mart, a.table)

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import dates, numbers, text
+from millrace.functions import dates, numbers
 from millrace.operators.joins import keep_matching
 
 
 def recent_visitors(visitors: DataFrame, as_of: date | str | None) -> DataFrame:
-    """Visitors created yesterday or later, by the leading day of the text."""
-    since = dates.day_text(dates.day_before(as_of))
-    return visitors.where(text.prefix(F.col("created_at"), 10) >= since)
+    """Visitors created yesterday or later.
+
+    ISO-8601 text is not less than a day's text just if its leading day is not, and the bare column reaches the scan.
+    """
+    return since_yesterday(visitors, "created_at", as_of)
 
 
 def since_yesterday(feed: DataFrame, column: str, as_of: date | str | None) -> DataFrame:
@@ -30,12 +32,10 @@ def since_yesterday(feed: DataFrame, column: str, as_of: date | str | None) -> D
     return feed.where(F.col(column) >= since)
 
 
-def of_media(
-    feed: DataFrame, media: Iterable[str] | DataFrame, spread_by: Sequence[str] = ("event_key",)
-) -> DataFrame:
+def of_media(feed: DataFrame, media: Iterable[str] | DataFrame) -> DataFrame:
     """Feed rows of the wanted media: a short list, or a frame with ``media_id``."""
     if isinstance(media, DataFrame):
-        return keep_matching(feed, media, "media_id", spread_by)
+        return keep_matching(feed, media, "media_id")
     return feed.where(F.col("media_id").isin(*media))
 
 

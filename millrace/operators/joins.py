@@ -1,39 +1,39 @@
 """Left joins that hold under skew, and lookups that broadcast only what is small.
 
-A left outer join cannot be helped by adaptive skew handling when the hot key sits on the right,
-because splitting that side would give false unmatched rows. ``skew_left_join`` splits such keys
-itself. Sizes are measured before the plan is chosen; that reads the key columns, or for small
-dimensions the whole of them.
+Adaptive execution splits a hot key in an inner join, and on the left of a left or anti join, but not on the right of
+a left join, because that would give false unmatched rows. So a left join whose right side may be hot is
+written as an inner join and an anti join side by side. Rows whose key is null match nothing and need no shuffle at all.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.dedup import first_per_key
 
-# What may be broadcast: at most this many rows and this much text.
+# What may be broadcast: at most this many rows and this many bytes.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Rows of one key that one task takes without being split.
-HOT_ROWS = 1_000_000
-# No table can have more keys than this above total / MOST_HOT_KEYS rows: bounds the hot-key list.
-MOST_HOT_KEYS = 10_000
-# Rows that the search for hot keys counts; of a larger table it counts a sample of this size.
-COUNTED_ROWS = 50_000_000
-# Parts that rows with a null key are spread over; they match nothing.
-NULL_PARTS = 1_000
-
-_PARTS = "__parts"
-_PART = "__part"
+
 _HIT = "__hit"
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value: of texts and bytes as they are, of nested values as JSON, else of a number."""
+    value = F.col(f"`{field.name}`")
+    kind = field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType | T.VariantType):
+        whole = value if isinstance(kind, T.VariantType) else F.struct(value.alias("v"))
+        return F.coalesce(F.octet_length(F.to_json(whole)), F.lit(0))
+    return F.lit(8)
+
+
 def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
     """Whether ``df`` may be broadcast, by a distributed count of its rows and bytes.
 
@@ -43,10 +43,7 @@ def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) ->
     size = BROADCAST_BYTES if size is None else size
     if rows == 0:
         return False
-    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-    width = F.lit(8 * len(df.columns))
-    for name in texts:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    width = sum((_width(f) for f in df.schema), F.lit(0))
     counted = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return counted["rows"] <= rows and (counted["bytes"] or 0) <= size
 
@@ -58,130 +55,40 @@ def _no_null(keys: Sequence[str]) -> Column:
     return known
 
 
-class HotKeys(NamedTuple):
-    """Keys to split, with the number of parts of each, and whether null keys need splitting."""
-
-    parts: DataFrame
-    nulls: bool
+def _with_nothing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` with the columns of ``right`` as nulls."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]
+    return left.select(*keys, *[c for c in left.columns if c not in keys], *nothing)
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None = None,
-    most: int = MOST_HOT_KEYS,
-    counted_rows: int | None = None,
-) -> HotKeys | None:
-    """Keys with too many rows for one task; None when there are none.
-
-    The threshold is the larger of ``hot_rows`` and total / ``most``, so about ``most`` keys can
-    pass it at most, whatever the data: the list is safe to bring to the driver and to broadcast.
-    A table that is itself below the threshold is not looked into. Of a very large one a sample is
-    counted, which settles only how its rows are dealt out: whether a key is split or not, all of
-    its rows are joined, and a key in the sample is a key in the table.
-    """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    counted_rows = COUNTED_ROWS if counted_rows is None else counted_rows
-    wanted = df.select(*keys)
-    total = wanted.count()
-    threshold = max(hot_rows, math.ceil(total / most))
-    if total <= threshold:
-        return None
-    share = min(1.0, counted_rows / total)
-    if share < 1.0:
-        wanted = wanted.sample(share, seed=1)
-    limit = max(1.0, threshold * share)
-    heavy = (
-        wanted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_PARTS))
-        .where(F.col(_PARTS) > limit)
-        .withColumn(_PARTS, F.ceil(F.col(_PARTS) / limit).cast("int"))
-    )
-    found = heavy.collect()
-    if not found:
-        return None
-    known = [row for row in found if None not in row]
-    return HotKeys(df.sparkSession.createDataFrame(known, heavy.schema), len(known) < len(found))
-
-
-def _part_of(df: DataFrame, keys: Sequence[str], hot: HotKeys, spread_by: Sequence[str]) -> DataFrame:
-    """Give each row of a hot key one part, by a hash of the columns that tell rows apart.
-
-    The input partition goes into the hash, so that identical copies part as well. It is the same
-    when a lost task runs again, unlike a random number.
-    """
-    mark = F.xxhash64(*spread_by, F.spark_partition_id())
-    part = F.when(F.col(_PARTS).isNotNull(), F.pmod(mark, F.col(_PARTS)))
-    if hot.nulls:
-        part = part.when(~_no_null(keys), F.pmod(mark, F.lit(NULL_PARTS)))
-    marked = df.join(F.broadcast(hot.parts), list(keys), "left")
-    return marked.withColumn(_PART, part.otherwise(F.lit(0)).cast("int")).drop(_PARTS)
-
-
-def _every_part(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    """Copy each row of a hot key into all parts of that key."""
-    parts = F.when(F.col(_PARTS).isNotNull(), F.sequence(F.lit(0), F.col(_PARTS) - 1)).otherwise(
-        F.array(F.lit(0))
-    )
-    marked = df.join(F.broadcast(hot.parts), list(keys), "left")
-    return marked.withColumn(_PART, F.explode(parts))
-
-
-def skew_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    hot_rows: int | None = None,
-    right_keys: DataFrame | None = None,
-) -> DataFrame:
-    """Left outer join where one key may hold much of the right side.
-
-    ``spread_by`` names right columns that tell rows of one key apart. ``right_keys`` may be a
-    cheaper frame with the same key counts as ``right``. A left row of a hot key goes to every
-    part of it, and its copies that meet no right row are dropped again: the key is hot because
-    right rows exist, so the copy that does match is always there.
-    """
-    counted = right if right_keys is None else right_keys
-    hot = hot_keys(counted, keys, hot_rows)
-    if hot is None:
-        return left.join(right, list(keys), "left")
-    copies = _every_part(left, keys, hot)
-    parts = _part_of(right.where(_no_null(keys)), keys, hot, spread_by)
-    joined = copies.join(parts.withColumn(_HIT, F.lit(True)), [*keys, _PART], "left")
-    kept = joined.where(F.col(_HIT).isNotNull() | F.col(_PARTS).isNull())
-    return kept.drop(_PARTS, _PART, _HIT)
+def skew_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left outer join where one key may hold much of the right side."""
+    matched = left.join(right, list(keys))
+    known = left.where(_no_null(keys))
+    alone = known.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    rest = alone.unionByName(left.where(~_no_null(keys)))
+    return matched.unionByName(_with_nothing(rest, right, keys))
 
 
 def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    broadcast_rows: int | None = None,
-    hot_rows: int | None = None,
+    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], broadcast_rows: int | None = None
 ) -> DataFrame:
     """Left outer join of facts to a dimension; a miss gives nulls.
 
-    Broadcast when the dimension is counted to be small. Beyond that it is a shuffle join in
-    which hot fact keys and null keys are split by a hash of ``spread_by``.
+    Broadcast when the dimension is counted to be small. Beyond that it is a shuffle join, in which a hot fact key
+    is split as it runs; facts without a key stand beside it.
     """
     if is_small(dimension, broadcast_rows):
         return facts.join(F.broadcast(dimension), list(keys), "left")
-    hot = hot_keys(facts, keys, hot_rows)
-    if hot is None:
-        return facts.join(dimension, list(keys), "left")
-    parts = _part_of(facts, keys, hot, spread_by)
-    copies = _every_part(dimension.where(_no_null(keys)), keys, hot).drop(_PARTS)
-    return parts.join(copies, [*keys, _PART], "left").drop(_PART)
+    found = facts.where(_no_null(keys)).join(dimension, list(keys), "left")
+    return found.unionByName(_with_nothing(facts.where(~_no_null(keys)), dimension, keys))
 
 
-def keep_matching(
-    facts: DataFrame, wanted: DataFrame, key: str, spread_by: Sequence[str], **limits
-) -> DataFrame:
-    """Facts whose key is wanted; ``lookup_join`` decides how they meet."""
-    hits = wanted.select(key).distinct().withColumn(_HIT, F.lit(True))
-    return lookup_join(facts, hits, [key], spread_by, **limits).where(_HIT).drop(_HIT)
+def keep_matching(facts: DataFrame, wanted: DataFrame, key: str, broadcast_rows: int | None = None) -> DataFrame:
+    """Facts whose key is wanted."""
+    hits = wanted.select(key).distinct()
+    hits = F.broadcast(hits) if is_small(hits, broadcast_rows) else hits
+    return facts.join(hits, key, "left_semi")
 
 
 def insert_if_absent(
@@ -202,11 +109,9 @@ def insert_if_absent(
     return fresh.join(present.distinct(), key, "left_anti")
 
 
-def docs_for_keys(
-    wanted: DataFrame, docs: DataFrame, key: str, spread_by: Sequence[str], **limits
-) -> DataFrame:
+def docs_for_keys(wanted: DataFrame, docs: DataFrame, key: str, broadcast_rows: int | None = None) -> DataFrame:
     """Exactly the documents whose key is wanted, read as a set instead of one by one."""
-    return keep_matching(docs, wanted, key, spread_by, **limits)
+    return keep_matching(docs, wanted, key, broadcast_rows)
 
 
 def narrowed(

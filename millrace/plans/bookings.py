@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, documents, text
 from millrace.operators.joins import insert_if_absent, lookup_join
 from millrace.operators.required import Split, split_required
-from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, CHANNELS
+from millrace.plans.leads import first_arrival
+from millrace.schemas import ARRIVAL, BOOKING_GOLD, BOOKING_SILVER, CHANNELS
 from millrace.sources import tables
 
 _DOC = "__doc"
@@ -110,7 +111,7 @@ def with_spend(
         raise ValueError(f"unknown spend_on: {spend_on}")
     daily = first_spend(spend).withColumnRenamed("date", "spend_date")
     dated = bookings.withColumn("spend_date", dates.day_text(day))
-    joined = lookup_join(dated, daily, ["channel", "spend_date"], spread_by=["invitee_id"], **limits)
+    joined = lookup_join(dated, daily, ["channel", "spend_date"], **limits)
     return joined if keep_day else joined.drop("spend_date")
 
 
@@ -121,9 +122,14 @@ def booking_gold(silver: DataFrame, spend: DataFrame, as_of: date | str | None =
 
 
 def load_bookings(new: DataFrame, target: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Gold rows that a warehouse table lacks, stamped with the load time."""
-    stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    return insert_if_absent(new, target, "invitee_id").withColumn("inserted_at", stamp)
+    """Gold rows that a warehouse table lacks, the first to arrive of each booking, stamped with the load time.
+
+    The stamp is ``loaded_at``, else the arrival of the row, which a replay does not change.
+    """
+    order = first_arrival(new, [c for c in new.columns if c not in ARRIVAL])
+    rows = insert_if_absent(new, target, "invitee_id", order)
+    arrived = F.col("ingest_ts") if "ingest_ts" in new.columns else F.current_timestamp()
+    return rows.withColumn("inserted_at", arrived if loaded_at is None else loaded_at)
 
 
 def booking_mart(marketing: DataFrame) -> DataFrame:

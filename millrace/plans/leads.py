@@ -24,10 +24,7 @@ def lead_silver(bronze: DataFrame, owners: DataFrame) -> DataFrame:
     """
     owner = owners.select(F.col("lead_id").alias("doc_id"), F.col("owner").alias(_OWNER))
     owner = narrowed(owner, bronze, "doc_id")
-    arrival = [c for c in ARRIVAL if c in bronze.columns]
-    joined = lookup_join(
-        bronze, owner, ["doc_id"], spread_by=arrival or ["body"], broadcast_rows=0
-    )
+    joined = lookup_join(bronze, owner, ["doc_id"], broadcast_rows=0)
     fields = joined
     for name, text_column in ((_FIELDS, "body"), (_OWNER_FIELDS, _OWNER)):
         fields = documents.with_once(
@@ -69,6 +66,15 @@ def lead_outbox(gold: DataFrame) -> DataFrame:
 
 
 def load_leads(new: DataFrame, target: DataFrame) -> DataFrame:
-    """Gold leads that the warehouse table lacks, with the creation time as a timestamp."""
-    rows = insert_if_absent(new.select(*LEAD_GOLD), target, "lead_id")
-    return rows.withColumn("date_created", F.to_timestamp("date_created"))
+    """Gold leads that the warehouse table lacks, with the creation time as a timestamp.
+
+    Of several deliveries of a lead the first to arrive is taken, in one batch as in many.
+    """
+    rows = insert_if_absent(new, target, "lead_id", first_arrival(new, LEAD_GOLD))
+    return rows.select(*LEAD_GOLD).withColumn("date_created", F.to_timestamp("date_created"))
+
+
+def first_arrival(rows: DataFrame, columns: list[str]) -> list[str]:
+    """Order of arrival, then of the columns; None of it is in the result."""
+    arrived = [c for c in ARRIVAL if c in rows.columns]
+    return [*arrived, *sorted(c for c in columns if c in rows.columns)]

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import dates
 from millrace.operators.dedup import dedup_by, latest_per_key
@@ -29,7 +30,7 @@ def bronze_stats(
     """Daily media figures since yesterday; ``pages`` carries the ``media_id`` of each page."""
     rows = landing.media_feed_rows(pages, MEDIA_STATS, F.col("media_id"))
     rows = since_yesterday(rows, "date", as_of)
-    return rows if media is None else of_media(rows, media, spread_by=["date"])
+    return rows if media is None else of_media(rows, media)
 
 
 def bronze_visitors(pages: DataFrame, as_of: date | str | None) -> DataFrame:
@@ -48,7 +49,7 @@ def ingest(
 
     Pages lie under ``landed/<table>/ingest_date=<day>``, those of the daily figures one level
     deeper under ``media_id=<id>``. A feed without pages is skipped. Pages that are no JSON arrays
-    go to ``bronze/bad_pages``.
+    go to ``bronze/bad_pages``, elements that break a rule to ``bronze/bad_rows``, both with the reasons.
     """
     flatten = {
         "visitors": lambda pages: bronze_visitors(pages, day),
@@ -57,6 +58,9 @@ def ingest(
     }
     written = []
     for table, rows_of in flatten.items():
+        schema = VIDEO_SCHEMAS[table]
+        if table == "media_stats":
+            schema = T.StructType([f for f in schema if f.name != "media_id"])
         folder = f"{landed}/{table}/{tables.DAY}={day}"
         pages = tables.if_present(lambda: landing.read_pages(spark, folder))
         if pages is None:
@@ -64,33 +68,36 @@ def ingest(
         split = landing.split_pages(pages)
         bad = split.quarantine.select("body", "reasons", F.lit(table).alias("feed"))
         tables.write_layer(tables.with_day(bad, day), f"{bronze}/bad_pages", [tables.DAY, "feed"])
+        bad_rows = landing.split_feed(split.valid, schema).quarantine.select("element", "reasons", F.lit(table).alias("feed"))
+        tables.write_layer(tables.with_day(bad_rows, day), f"{bronze}/bad_rows", [tables.DAY, "feed"])
         if write_bronze(rows_of(split.valid), bronze, table, day):
             written.append(table)
     return written
 
 
 def write_bronze(rows: DataFrame, root: str, table: str, day: date | str) -> bool:
-    """Write the day's rows of one table by media; False, and no write, when there are none."""
-    if not tables.has_rows(rows):
-        return False
-    media = [] if table == "visitors" else ["media_id"]
-    tables.write_layer(
-        tables.with_day(rows, day), f"{root}/{table}", by=[tables.DAY, *media], balance_by=media
-    )
-    return True
+    """Replace the day's rows of one table, in folders by media; False when there are none.
+
+    The folder column is a copy: a folder name cannot tell an empty id from a missing one.
+    """
+    some = tables.has_rows(rows)
+    if table == "visitors":
+        tables.write_day(rows, f"{root}/{table}", day)
+    else:
+        tables.write_day(rows.withColumn("media", F.col("media_id")), f"{root}/{table}", day, by=["media"])
+    return some
 
 
 def write_silver(spark: SparkSession, bronze: str, silver: str, day: date | str) -> list[str]:
     """Bronze day to silver day for every table, one row per business key.
 
-    A table without bronze rows for the day is skipped. Returns the tables written.
+    A table without bronze rows has none for the day. Returns the tables with rows.
     """
     written = []
     for table, keys in VIDEO_KEYS.items():
         rows = tables.read_day(spark, f"{bronze}/{table}", day, VIDEO_SCHEMAS[table])
+        tables.write_day(rows.transform(dedup_by(keys)), f"{silver}/{table}", day)
         if tables.has_rows(rows):
-            clean = rows.transform(dedup_by(keys))
-            tables.write_layer(tables.with_day(clean, day), f"{silver}/{table}")
             written.append(table)
     return written
 
@@ -107,9 +114,9 @@ def with_event_day(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", dates.to_day(F.col("received_at")))
 
 
-def visitors_with_events(visitors: DataFrame, events: DataFrame, **skew) -> DataFrame:
+def visitors_with_events(visitors: DataFrame, events: DataFrame) -> DataFrame:
     """Every visitor with each of its events, or with nulls."""
-    return skew_left_join(visitors, events, ["visitor_key"], spread_by=["event_key"], **skew)
+    return skew_left_join(visitors, events, ["visitor_key"])
 
 
 def events_with_stats(events: DataFrame, stats: DataFrame, **limits) -> DataFrame:
@@ -120,43 +127,36 @@ def events_with_stats(events: DataFrame, stats: DataFrame, **limits) -> DataFram
     figures = stats.select(
         "media_id", dates.to_day(F.col("date")).alias("event_date"), "date", "hours_watched"
     )
-    return lookup_join(events, figures, ["media_id", "event_date"], spread_by=["event_key"], **limits)
+    return lookup_join(events, figures, ["media_id", "event_date"], **limits)
 
 
-def video_gold(
-    visitors: DataFrame, events: DataFrame, stats: DataFrame, hot_rows: int | None = None
-) -> DataFrame:
+def video_gold(visitors: DataFrame, events: DataFrame, stats: DataFrame) -> DataFrame:
     """Visitors x events x daily media figures: 14 columns and ``event_date``.
 
     Figures are attached to the events before the visitors are. The result is the same, as the
     figures' keys come from the event, and rows that have no event never enter that join.
     """
-    enriched = events_with_stats(with_event_day(events), stats, hot_rows=hot_rows)
+    enriched = events_with_stats(with_event_day(events), stats)
     joined = skew_left_join(
         visitors.select("visitor_key", "created_at", "load_count", "play_count"),
         enriched,
         ["visitor_key"],
-        spread_by=["event_key"],
-        right_keys=events,
-        hot_rows=hot_rows,
     )
     return joined.select(*VIDEO_GOLD, "event_date")
 
 
 def write_gold(spark: SparkSession, silver: str, gold: str, day: date | str) -> list[str]:
-    """Gold of a day. Without events, visitors and figures are kept as two tables instead.
+    """Gold of a day, as that day of three tables. Without events, visitors and figures are kept instead.
 
-    The tables are siblings: replacing one leaves the others alone.
+    All three are replaced for the day, so none keeps what an earlier run left; other days stay as they are.
     """
     parts = read_silver(spark, silver, day)
-    if tables.has_rows(parts["events"]):
-        tables.write_table(
-            video_gold(parts["visitors"], parts["events"], parts["media_stats"]), f"{gold}/engagement"
-        )
-        return ["engagement"]
+    some = tables.has_rows(parts["events"])
+    joined = video_gold(parts["visitors"], parts["events"], parts["media_stats"])
+    tables.write_day(joined if some else joined.limit(0), f"{gold}/engagement", day)
     for table in ("visitors", "media_stats"):
-        tables.write_table(parts[table], f"{gold}/{table}")
-    return ["visitors", "media_stats"]
+        tables.write_day(parts[table].limit(0) if some else parts[table], f"{gold}/{table}", day)
+    return ["engagement"] if some else ["visitors", "media_stats"]
 
 
 def history(spark: SparkSession, layer: str, table: str) -> DataFrame:

@@ -10,7 +10,7 @@ from millrace.registry.leads import GOLD_SQL
 from millrace.registry.views import (
     AS_OF, BOOKINGS_SQL, CHANNEL_OF, SPEND_SQL, booking_body, lead_body, owners, scratch, spend, stream_table,
 )
-from millrace.schemas import BRONZE, LEAD_GOLD
+from millrace.schemas import BOOKING_GOLD, BRONZE, LEAD_GOLD
 from millrace.streaming import flows, runs
 
 _FILE = ["file_path", "file_time"]
@@ -20,7 +20,7 @@ def stream_upsert(spark, d):
     """Turns of a conversation as deliveries of one document; the last turn stands."""
     root = scratch(spark, "upsert")
     body = documents.json_text("conv_id", "turn", "role", "text")
-    landed = stream_table(spark, d, "conversations", "conv_id").select(body.alias("body"), *_FILE)
+    landed = stream_table(spark, d, "conversations").select(body.alias("body"), *_FILE)
     flows.land_bodies(landed, root, lambda b: documents.field(documents.parse(b), "conv_id"))
 
     def flatten(batch):
@@ -42,15 +42,25 @@ def stream_upsert(spark, d):
 def stream_enrich(spark, d):
     """Booking documents through bronze, silver and gold, joined to the spend table on the way."""
     root = scratch(spark, "bookings")
-    landed = stream_table(spark, d, "events", "event_id").select(booking_body().alias("body"), *_FILE)
+    landed = stream_table(spark, d, "events").select(booking_body().alias("body"), *_FILE)
     flows.run_bookings(spark, landed, root, spend(spark, d), AS_OF, channels=CHANNEL_OF)
     log = runs.read_log(spark, f"{root}/gold", flows.BOOKING_GOLD_LOG)
-    return runs.latest(log, "invitee_id").select("invitee_id", "channel", "employee_name", "spend", "campaign")
+    return runs.latest(log, "invitee_id").select(*BOOKING_GOLD)
+
+
+def stream_bookings_warehouse(spark, d):
+    """Every booking twice, first with its own documents and then again, to the table that takes each once."""
+    root = scratch(spark, "bookings")
+    landed = stream_table(spark, d, "events").select(booking_body().alias("body"), *_FILE)
+    twice = landed.withColumn("file_path", F.explode(F.array(F.lit("1"), F.lit("2"))))
+    flows.run_bookings(spark, twice, root, spend(spark, d), AS_OF, channels=CHANNEL_OF)
+    rows = runs.read_log(spark, f"{root}/warehouse/marketing", flows.BOOKING_MARKETING)
+    return rows.drop("inserted_at", runs.BATCH)
 
 
 def _leads(spark, d):
     root = scratch(spark, "leads")
-    landed = stream_table(spark, d, "documents", "doc_id").select(lead_body().alias("body"), *_FILE)
+    landed = stream_table(spark, d, "documents").select(lead_body().alias("body"), *_FILE)
     flows.run_leads(spark, landed, root, owners(spark, d))
     return root
 
@@ -78,7 +88,13 @@ QUERIES = {
     "stream_enrich": (
         stream_enrich,
         f"""WITH {BOOKINGS_SQL}, {SPEND_SQL}
-        SELECT b.invitee_id, b.channel, b.employee_name, s.spend, b.campaign
+        SELECT b.* EXCLUDE (ts), s.spend
+        FROM bookings b LEFT JOIN daily_spend s ON b.channel = s.channel AND s.date = '2024-01-14'""",
+    ),
+    "stream_bookings_warehouse": (
+        stream_bookings_warehouse,
+        f"""WITH {BOOKINGS_SQL}, {SPEND_SQL}
+        SELECT b.* EXCLUDE (campaign, ts), s.spend
         FROM bookings b LEFT JOIN daily_spend s ON b.channel = s.channel AND s.date = '2024-01-14'""",
     ),
     "stream_warehouse": (

@@ -13,6 +13,7 @@ from millrace.schemas import VIDEO_EVENTS, VISITORS
 from millrace.sources import landing, tables
 
 DAY = "1998-06-15"
+WITH_NULLS = {"ignoreNullFields": "false"}
 
 
 def video_gold(spark, d):
@@ -33,13 +34,13 @@ def events_stats_left(spark, d):
 
 def dedup_by_key(spark, d):
     keys = ["l_orderkey", "l_linenumber"]
-    return first_per_key(tables.spread(table(spark, d, "lineitem"), *keys), keys)
+    return first_per_key(table(spark, d, "lineitem"), keys)
 
 
 def _page(rows, *columns):
     """A page that holds each row twice, as overlapping fetches do."""
     one = F.struct(*columns)
-    return rows.select(F.to_json(F.array(one, one)).alias("body"))
+    return rows.select(F.to_json(F.array(one, one), WITH_NULLS).alias("body"))
 
 
 def _event_pages(spark, d):
@@ -70,13 +71,13 @@ def event_feed(spark, d):
 def stats_feed(spark, d):
     rows = media_stats(spark, d)
     one = F.struct("date", "load_count", "play_count", F.col("hours_watched").cast("string").alias("hours_watched"))
-    pages = rows.select("media_id", F.to_json(F.array(one)).alias("body"))
+    pages = rows.select("media_id", F.to_json(F.array(one), WITH_NULLS).alias("body"))
     return v.bronze_stats(pages, DAY)
 
 
 def visitor_feed(spark, d):
     """Orders as visitors who came on the order's day."""
-    rows = tables.spread(table(spark, d, "orders"), "o_orderkey").select(
+    rows = table(spark, d, "orders").select(
         text_of("o_orderkey").alias("visitor_key"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.lit(None).cast("string").alias("last_active_at"),
@@ -139,7 +140,47 @@ def video_gold_layers(spark, d):
         v.write_bronze(rows, f"{root}/bronze", name, DAY)
     v.write_silver(spark, f"{root}/bronze", f"{root}/silver", DAY)
     v.write_gold(spark, f"{root}/silver", f"{root}/gold", DAY)
-    return spark.read.parquet(f"{root}/gold/engagement")
+    return spark.read.parquet(f"{root}/gold/engagement").drop(tables.DAY)
+
+
+def gold_days(spark, d):
+    """Gold of three days, the second without events; what each of the three tables holds for each day."""
+    root = scratch(spark, "video")
+    days = ["1998-06-14", "1998-06-15", "1998-06-16"]
+    for n, day in enumerate(days):
+        feeds = {"visitors": visitors(spark, d), "events": video_events(spark, d), "media_stats": media_stats(spark, d)}
+        if n == 1:
+            feeds["events"] = feeds["events"].where("false")
+        for name, rows in feeds.items():
+            v.write_bronze(rows, f"{root}/bronze", name, day)
+        v.write_silver(spark, f"{root}/bronze", f"{root}/silver", day)
+        v.write_gold(spark, f"{root}/silver", f"{root}/gold", day)
+    # a second run of the first day, with one media left
+    fewer = video_events(spark, d).where("media_id = '5-LOW'")
+    v.write_bronze(fewer, f"{root}/bronze", "events", days[0])
+    v.write_silver(spark, f"{root}/bronze", f"{root}/silver", days[0])
+    v.write_gold(spark, f"{root}/silver", f"{root}/gold", days[0])
+    counts = [
+        spark.read.parquet(f"{root}/gold/{name}").groupBy(F.col(tables.DAY).cast("string").alias("day"))
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("layer", F.lit(name))
+        for name in ("engagement", "visitors", "media_stats")
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def feed_quarantine(spark, d):
+    """Orders as elements of event pages, some without a key, some with a bad number, and numbers between them."""
+    one = F.struct(*VIDEO_EVENTS.names)
+    whole = F.to_json(one, WITH_NULLS)
+    bare = F.to_json(F.struct("event_key"))
+    wrong = F.to_json(F.struct(*[F.lit("much").alias(c) if c == "percent_viewed" else F.col(c) for c in VIDEO_EVENTS.names]), WITH_NULLS)
+    key = F.col("event_key").cast("bigint") % 4
+    element = F.when(key == 0, bare).when(key == 1, wrong).when(key == 2, F.col("event_key")).otherwise(whole)
+    pages = video_events(spark, d).select(F.concat(F.lit("["), element, F.lit("]")).alias("body"))
+    split = landing.split_feed(pages, VIDEO_EVENTS)
+    good = split.valid.select("event_key", F.lit(0).alias("broken"))
+    bad = split.quarantine.select(F.coalesce(F.get_json_object("element", "$.event_key"), "element").alias("event_key"), F.size("reasons").alias("broken"))
+    return good.unionByName(bad)
 
 
 def video_history(spark, d):
@@ -229,6 +270,23 @@ QUERIES = {
         UNION ALL SELECT media_id, count(*), 'media_stats' FROM media_stats GROUP BY media_id""",
     ),
     "video_gold_layers": (video_gold_layers, GOLD_SQL),
+    "gold_days": (
+        gold_days,
+        f"""WITH {VIDEO_SQL}, joined AS (
+          SELECT e.media_id, e.visitor_key AS viewed, v.visitor_key FROM visitors v
+          LEFT JOIN video_events e ON v.visitor_key = e.visitor_key),
+        low AS (SELECT v.visitor_key FROM visitors v
+          LEFT JOIN (SELECT * FROM video_events WHERE media_id = '5-LOW') e ON v.visitor_key = e.visitor_key)
+        SELECT '1998-06-14' AS day, count(*) AS n, 'engagement' AS layer FROM low
+        UNION ALL SELECT '1998-06-16', count(*), 'engagement' FROM joined
+        UNION ALL SELECT '1998-06-15', count(*), 'visitors' FROM visitors
+        UNION ALL SELECT '1998-06-15', count(*), 'media_stats' FROM media_stats""",
+    ),
+    "feed_quarantine": (
+        feed_quarantine,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS event_key,
+          CAST(CASE o_orderkey % 4 WHEN 0 THEN 9 WHEN 1 THEN 1 WHEN 2 THEN 11 ELSE 0 END AS INTEGER) AS broken FROM orders""",
+    ),
     "video_history": (
         video_history,
         """SELECT l_orderkey AS event_key, CAST(l_shipdate AS DATE) AS ingest_date, l_linenumber,

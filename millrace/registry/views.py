@@ -13,7 +13,6 @@ from pyspark.sql.types import StructType
 from millrace.functions import documents
 from millrace.plans.bookings import booking_mart
 from millrace.session import apply_settings, shared_root
-from millrace.sources.tables import cores, few_splits, spread
 from millrace.streaming.runs import BATCH_BYTES
 
 # All bookings of the test tables start in this month.
@@ -47,19 +46,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A test table as a file stream, with the file columns of a landing stream.
-
-    A table of fewer splits than cores is dealt out by ``key``, as many landing files would be.
-    """
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as a file stream, with the file columns of a landing stream."""
     rows = table(spark, sf_dir, name)
     # the bracket makes it a pattern: a pattern may match one file as well as a folder
     reader = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", BATCH_BYTES)
     files = reader.parquet(f"{sf_dir}/{name}.parque[t]")
-    landed = files.select(
-        "*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time")
-    )
-    return landed.repartition(cores(spark), key) if few_splits(rows) else landed
+    return files.select("*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -128,7 +121,7 @@ def visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def video_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as video views."""
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received_at"),
         text_of("o_orderkey").alias("event_key"),
         F.concat(F.lit("10.0.0."), (F.col("o_custkey") % 250).cast("string")).alias("ip"),
@@ -265,7 +258,7 @@ def lead_body() -> Column:
 
 
 def lead_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         text_of("doc_id").alias("doc_id"), lead_body().alias("body")
     )
 

@@ -15,12 +15,13 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # of a key that a document repeats the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
 # Shuffle data that one task should handle; adaptive execution merges smaller partitions.
 SHUFFLE_BYTES = 128 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
@@ -28,7 +29,7 @@ def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
 
     Adaptive execution can only merge partitions, so a large job has to start with many.
     """
-    return max(at_least, min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES)))
+    return max(at_least, -(-input_bytes // SHUFFLE_BYTES))
 
 
 def build_session(

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from millrace.functions import documents, text
 from millrace.operators.required import Split, split_required
 from millrace.schemas import SPEND
+from millrace.sources import tables
 
 
 def _with_file(lines: DataFrame) -> DataFrame:
@@ -65,31 +66,51 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
+_ELEMENT, _DOC, _VALUES = "element", "__doc", "__values"
+
+
 def split_pages(pages: DataFrame, page: str = "body") -> Split:
-    """Pages that are JSON arrays, and the others, which ``feed_rows`` would stop at."""
-    parsed = documents.with_parsed(pages, page, "__doc")
-    array = F.col("__doc").try_cast("array<variant>").isNotNull()
-    valid, quarantine = split_required(parsed, {"array": array})
-    return Split(valid.drop("__doc"), quarantine.drop("__doc"))
+    """Pages that are JSON arrays, and the others. The size of a page does not matter."""
+    array = F.from_json(F.col(page), "array<string>").isNotNull()
+    return split_required(pages, {"array": array})
 
 
-def _array_of(row_schema: T.StructType, body: Column) -> Column:
-    """JSON array of objects, every field as text; a body that is none raises."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in row_schema])
-    return F.from_json(body, T.ArrayType(as_text), {"mode": "FAILFAST"})
+def _whole_number(value: Column) -> Column:
+    """Number text to bigint where it has no fraction: ``12`` and ``12.0``, also as text."""
+    exact = value.try_cast("decimal(38,9)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
 
 
-def feed_rows(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> DataFrame:
-    """One row per element of the JSON arrays in ``page``, typed by ``row_schema``.
+def _typed(value: Column, kind: T.DataType) -> Column:
+    return _whole_number(value) if isinstance(kind, T.LongType) else value.try_cast(kind)
 
-    Numbers are read as text first, because a feed may send ``"0.5"`` as well as ``0.5``.
+
+def split_feed(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> Split:
+    """Elements of the JSON arrays in ``page``: rows of ``row_schema``, and elements that break a rule with the reasons.
+
+    An element has to be an object with every field of the schema, null values allowed, and numbers where numbers are
+    asked for; a feed may send them as text. Columns beside ``page`` are carried along. A page that is no array has no elements
+    (see ``split_pages``).
     """
-    parsed = pages.select(
-        *[c for c in pages.columns if c != page and c not in row_schema.names],
-        F.explode(_array_of(row_schema, F.col(page))).alias("r"),
-    )
-    rest = [c for c in parsed.columns if c != "r"]
-    return parsed.select(*rest, *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in row_schema])
+    rest = [c for c in pages.columns if c != page and c not in row_schema.names]
+    elements = pages.select(*rest, F.explode(F.from_json(F.col(page), "array<string>")).alias(_ELEMENT))
+    parsed = documents.with_once(elements, _DOC, documents.top_level(documents.parse(F.col(_ELEMENT))))
+    doc = F.col(_DOC)
+    texts = {f.name: documents.as_text(doc[f.name]) for f in row_schema}
+    values = F.struct(*[_typed(texts[f.name], f.dataType).alias(f.name) for f in row_schema])
+    valued = documents.with_once(parsed, _VALUES, F.when(doc.isNotNull(), values))
+    rules: dict[str, Column] = {"object": doc.isNotNull()}
+    for f in row_schema:
+        rules[f.name] = F.map_contains_key(doc, f.name)
+        if not isinstance(f.dataType, T.StringType):
+            rules[f"{f.name} is a number"] = F.col(f"{_VALUES}.{f.name}").isNotNull() | texts[f.name].isNull()
+    split = split_required(valued, rules)
+    return Split(split.valid.select(*rest, f"{_VALUES}.*"), split.quarantine.select(*rest, _ELEMENT, "reasons"))
+
+
+def feed_rows(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> DataFrame:
+    """The valid rows of ``split_feed``."""
+    return split_feed(pages, row_schema, page).valid
 
 
 def media_feed_rows(
@@ -101,6 +122,12 @@ def media_feed_rows(
     return rows.select(*row_schema.names)
 
 
+def _array_of(row_schema: T.StructType, body: Column) -> Column:
+    """JSON array of objects, every field as text; a body that is none raises."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in row_schema])
+    return F.from_json(body, T.ArrayType(as_text), {"mode": "FAILFAST"})
+
+
 def spend_rows(files: DataFrame, body: str = "body") -> DataFrame:
     """Spend rows of JSON array files, with file and position to keep the array order."""
     kept = [c for c in ("file_path",) if c in files.columns]
@@ -111,17 +138,31 @@ def spend_rows(files: DataFrame, body: str = "body") -> DataFrame:
 
 
 def read_spend(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
-    """Spend rows of the files under ``root``; with ``day`` only that day's file, if any."""
+    """Spend rows of the files under ``root``; with ``day`` only that day's file. No file or folder: no rows."""
     reader = spark.read
     if day is not None:
         # Fixed value: name of a day's spend file.
         reader = reader.option("pathGlobFilter", f"spend_data_{day}.json")
-    return spend_rows(_with_file(reader.text(root, wholetext=True)))
+    files = tables.if_present(lambda: _with_file(reader.text(root, wholetext=True)))
+    return spend_rows(_no_files(spark) if files is None else files)
+
+
+def spend_of_named_day(spend: DataFrame) -> DataFrame:
+    """Spend rows that bear the day their file is named after."""
+    return spend.where(F.endswith("file_path", F.concat(F.lit("spend_data_"), "date", F.lit(".json"))))
+
+
+def _no_files(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "body string, file_path string, file_time timestamp")
 
 
 def read_owners(spark: SparkSession, root: str) -> DataFrame:
-    """Owner documents, one file per lead named after its id: ``lead_id, owner``."""
-    files = spark.read.text(root, wholetext=True)
-    # the metadata column holds the name in URL form
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    return files.select(text.unquote(name).alias("lead_id"), F.col("value").alias("owner"))
+    """Owner documents, one file per lead named after its id: ``lead_id, owner``. No folder: no rows."""
+
+    def named() -> DataFrame:
+        # the metadata column holds the name in URL form
+        name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
+        return spark.read.text(root, wholetext=True).select(text.unquote(name).alias("lead_id"), F.col("value").alias("owner"))
+
+    found = tables.if_present(named)
+    return spark.createDataFrame([], "lead_id string, owner string") if found is None else found

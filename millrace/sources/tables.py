@@ -41,6 +41,17 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_day(df: DataFrame, path: str, day: date | str, by: Sequence[str] = ()) -> None:
+    """Replace one day of a layer table as a whole, by nothing if ``df`` has no rows.
+
+    ``by`` names partition columns below the day; a value of many rows is spread over tasks and files.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{DAY}={day}")
+
+
 def with_day(df: DataFrame, day: date | str) -> DataFrame:
     return df.withColumn(DAY, F.lit(str(day)).cast("date"))
 
@@ -68,23 +79,6 @@ def read_day(spark: SparkSession, path: str, day: date | str, schema: T.StructTy
     return table.where(F.col(DAY) == F.lit(str(day)).cast("date")).select(*schema.names)
 
 
-def cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
-
-
-def few_splits(df: DataFrame) -> bool:
-    """Whether a scan has fewer splits than there are cores."""
-    return df.rdd.getNumPartitions() < cores(df.sparkSession)
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Deal an input of few splits out to all cores, by a hash of ``by``.
-
-    For costly work per row on a small file. A large input has splits enough and stays as it is.
-    """
-    return df.repartition(cores(df.sparkSession), *by) if few_splits(df) else df
-
-
 def has_rows(df: DataFrame) -> bool:
     """Whether there is anything to write; stops at the first row."""
     return not df.isEmpty()

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.required import split_required
 from millrace.plans import bookings, leads
-from millrace.schemas import BOOKING_SILVER, BRONZE, CHANNELS, LEAD_GOLD
+from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, BRONZE, CHANNELS, LEAD_GOLD
 from millrace.sources import landing
 from millrace.streaming import runs
 
@@ -36,6 +36,15 @@ LEAD_WAREHOUSE = T.StructType(
 )
 
 
+def _warehouse(names: list[str]) -> T.StructType:
+    kinds = {"spend": T.DoubleType(), "inserted_at": T.TimestampType()}
+    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in [*names, "inserted_at"]])
+
+
+BOOKING_EVENTS = _warehouse([n for n in BOOKING_SILVER if n != "campaign"])
+BOOKING_MARKETING = _warehouse([n for n in BOOKING_GOLD if n != "campaign"])
+
+
 def land_bodies(landed: DataFrame, root: str, doc_id: Callable[[Column], Column]) -> None:
     """Landing stream to bronze; returns when all that has arrived is written."""
     rows = landing.bronze_rows(landed, doc_id(landed["body"]))
@@ -51,7 +60,10 @@ def run_bookings(
     channels: Mapping[str, str] = CHANNELS,
     **options,
 ) -> None:
-    """Webhook bodies to bronze, silver, gold and quarantine, for all that has arrived."""
+    """Webhook bodies to bronze, silver, gold, quarantine and two warehouse tables, for all that has arrived.
+
+    The warehouse tables ``events`` and ``marketing`` take each booking once, as it first arrived.
+    """
     land_bodies(landed, root, landing.invitee_id_of)
 
     def to_silver(batch: DataFrame) -> dict[str, DataFrame]:
@@ -65,6 +77,13 @@ def run_bookings(
     runs.each_batch(bronze, to_silver, root, f"{root}/_checkpoints/silver")
     silver = runs.stream_log(spark, f"{root}/silver", BOOKING_LOG)
     runs.each_batch(silver, to_gold, root, f"{root}/_checkpoints/gold")
+    gold = runs.stream_log(spark, f"{root}/gold", BOOKING_GOLD_LOG)
+    for name, schema in (("events", BOOKING_EVENTS), ("marketing", BOOKING_MARKETING)):
+
+        def insert(new: DataFrame, target: DataFrame, names: list[str] = schema.names) -> DataFrame:
+            return bookings.load_bookings(new, target).select(*names)
+
+        runs.append_absent(gold, insert, f"{root}/warehouse/{name}", schema, f"{root}/_checkpoints/{name}")
 
 
 def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFrame) -> None:

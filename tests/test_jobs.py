@@ -47,6 +47,8 @@ def test_booking_jobs_up_to_a_report(spark, folder):
     put(landed, "again.json", booking("i0", status="moved"))
     rows = [{"channel": "facebook_paid_ads", "date": "2024-01-14", "spend": 2.5}]
     put(spend, "spend_data_2024-01-14.json", json.dumps(rows))
+    stray = [{"channel": "facebook_paid_ads", "date": "2024-01-14", "spend": 999}]
+    put(spend, "spend_data_2024-01-13.json", json.dumps(stray))
     run(spark, ["bookings", "--landed", landed, "--root", root, "--spend", spend, "--day", DAY])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS jobs LOCATION '{folder('warehouse')}'")
     try:

@@ -60,11 +60,10 @@ def test_dedup_is_a_transform_and_repeats(frame):
 HOT = [(1, i) for i in range(40)] + [(2, i) for i in range(3)] + [(None, i) for i in range(25)]
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_skew_left_join_matches_brute_force(frame, hot_rows):
+def test_skew_left_join_matches_brute_force(frame):
     left = [(1, 10), (2, 20), (3, 30), (None, 40), (1, 11)]
     got = joins.skew_left_join(
-        frame(left, "k int, a int"), frame(HOT, "k int, b int"), ["k"], ["b"], hot_rows=hot_rows
+        frame(left, "k int, a int"), frame(HOT, "k int, b int"), ["k"]
     )
     assert got.columns == ["k", "a", "b"]
     assert bag(got) == left_join(left, HOT)
@@ -77,26 +76,26 @@ def test_skew_left_join_matches_brute_force(frame, hot_rows):
 @some
 def test_skew_left_join_on_any_rows(frame, left, right):
     got = joins.skew_left_join(
-        frame(left, "k int, a int"), frame(right, "k int, b int"), ["k"], ["b"], hot_rows=2
+        frame(left, "k int, a int"), frame(right, "k int, b int"), ["k"]
     )
     assert bag(got) == left_join(left, right)
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_rows", [(100, 5), (0, 5), (0, 1_000_000), (2, 10)])
-def test_lookup_join_takes_every_route(frame, broadcast_rows, hot_rows):
+@pytest.mark.parametrize("broadcast_rows", [100, 0, 2])
+def test_lookup_join_takes_every_route(frame, broadcast_rows):
     dimension = [(1, 100), (2, 200), (2, 201), (9, 900), (None, 0)]
     got = joins.lookup_join(
-        frame(HOT, "k int, a int"), frame(dimension, "k int, b int"), ["k"], ["a"],
-        broadcast_rows=broadcast_rows, hot_rows=hot_rows,
+        frame(HOT, "k int, a int"), frame(dimension, "k int, b int"), ["k"],
+        broadcast_rows=broadcast_rows,
     )
     assert bag(got) == left_join(HOT, dimension)
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_rows", [(100, 5), (0, 5), (0, 1_000_000)])
-def test_keep_matching(frame, broadcast_rows, hot_rows):
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_keep_matching(frame, broadcast_rows):
     wanted = frame([(1,), (1,), (None,), (7,)], "k int")
     got = joins.keep_matching(
-        frame(HOT, "k int, a int"), wanted, "k", ["a"], broadcast_rows=broadcast_rows, hot_rows=hot_rows
+        frame(HOT, "k int, a int"), wanted, "k", broadcast_rows=broadcast_rows
     )
     assert bag(got) == Counter(r for r in HOT if r[0] == 1)
 
@@ -105,36 +104,18 @@ def test_keep_matching(frame, broadcast_rows, hot_rows):
 def test_docs_for_keys_is_exact_for_any_size(frame, broadcast_rows):
     docs = frame([(1, "a"), (2, "b"), (2, "b2"), (3, "c")], "k int, v string")
     wanted = frame([(2,), (2,), (9,), (None,)], "k int")
-    got = joins.docs_for_keys(wanted, docs, "k", ["v"], broadcast_rows=broadcast_rows)
+    got = joins.docs_for_keys(wanted, docs, "k", broadcast_rows=broadcast_rows)
     assert bag(got) == Counter([(2, "b"), (2, "b2")])
 
 
-def test_hot_keys_are_bounded(frame):
-    rows = frame([(i % 7,) for i in range(700)], "k int")
-    assert joins.hot_keys(rows, ["k"], hot_rows=50, most=3) is None
-    found = joins.hot_keys(rows, ["k"], hot_rows=50, most=1000)
-    assert found.parts.count() == 7 and not found.nulls
-
-
-def test_hot_keys_of_a_sample_change_no_result(frame, monkeypatch):
-    right = [(i % 2 and i, i) for i in range(400)]
-    left = [(k, k) for k in range(400)]
-    found = joins.hot_keys(frame(right, "k int, b int"), ["k"], hot_rows=50, counted_rows=100)
-    assert [r.k for r in found.parts.collect()] == [0]
-    search = joins.hot_keys
-    monkeypatch.setattr(joins, "hot_keys", lambda df, keys, rows: search(df, keys, rows, counted_rows=100))
-    got = joins.skew_left_join(
-        frame(left, "k int, a int"), frame(right, "k int, b int"), ["k"], ["b"], hot_rows=50
-    )
-    assert bag(got) == left_join(left, right)
+def test_identical_copies_of_a_hot_key_all_survive(frame):
+    right = frame([(1, 5)] * 30, "k int, b int")
+    assert joins.skew_left_join(frame([(1, 0)], "k int, a int"), right, ["k"]).count() == 30
 
 
-def test_identical_copies_of_a_hot_key_all_survive_and_part(frame):
-    right = frame([(1, 5)] * 30, "k int, b int")
-    got = joins.skew_left_join(frame([(1, 0)], "k int, a int"), right, ["k"], ["b"], hot_rows=4)
-    assert got.count() == 30
-    parts = joins._part_of(right, ["k"], joins.hot_keys(right, ["k"], hot_rows=4), ["b"])
-    assert parts.select("__part").distinct().count() > 1
+def test_is_small_counts_nested_values(frame):
+    rows = frame([(["x" * 100] * 10, {"k": "y" * 100})], "a array<string>, m map<string, string>")
+    assert joins.is_small(rows, 10, 5_000) and not joins.is_small(rows, 10, 1_000)
 
 
 def test_is_small_counts_rows_and_bytes(frame):

@@ -7,12 +7,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_file
+from millrace import registry
 from millrace.operators import joins
 from oracle import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,10 +34,8 @@ def test_query_matches_sql(spark, duck, name):
     ],
 )
 def test_query_matches_sql_on_the_routes_for_large_inputs(spark, duck, monkeypatch, name):
-    """Nothing is broadcast, most keys count as hot, and hot keys come from a sample."""
+    """Nothing is broadcast."""
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(joins, "HOT_ROWS", 3)
-    monkeypatch.setattr(joins, "COUNTED_ROWS", 400)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert differences(duck, QUERIES[name](spark, SF_DIR), ORACLES[name]) == []

@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_file
+from millrace import registry
 from millrace.operators import joins
 from millrace.operators.dedup import first_per_key
-from millrace.operators.filters import month_slice
+from millrace.operators.filters import month_slice, recent_visitors
 from millrace.plans import reports
 from millrace.plans.bookings import booking_mart
 from millrace.registry import views
@@ -17,7 +17,7 @@ from millrace.schemas import VIDEO_EVENTS
 from millrace.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = [n for n in entry_file.queries() if not n.startswith("stream_")]
+BATCH = [n for n in registry.queries() if not n.startswith("stream_")]
 
 
 def plan(df) -> str:
@@ -28,7 +28,7 @@ def plan(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry_file.queries()[name](spark, SF_DIR))
+    text = plan(registry.queries()[name](spark, SF_DIR))
     for word in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
 
@@ -67,8 +67,8 @@ def test_small_dimension_is_broadcast_and_large_is_not(spark, frame):
     dimension = spark.range(50).selectExpr("cast(id as int) as k", "id as b")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = joins.lookup_join(facts, dimension, ["k"], ["a"])
-        large = joins.lookup_join(facts, dimension, ["k"], ["a"], broadcast_rows=10)
+        small = joins.lookup_join(facts, dimension, ["k"])
+        large = joins.lookup_join(facts, dimension, ["k"], broadcast_rows=10)
         assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -94,9 +94,29 @@ def test_documents_are_parsed_once(spark):
     assert plan(booking_silver(rows).valid).count("parseJson") == 1
 
 
-def test_hot_parts_spread_over_tasks(spark, frame):
-    """The rows of a hot key end up in several parts, and each part is a share of them."""
-    hot = joins.hot_keys(frame([(1, i) for i in range(400)], "k int, b int"), ["k"], hot_rows=100)
-    parts = joins._part_of(frame([(1, i) for i in range(400)], "k int, b int"), ["k"], hot, ["b"])
-    sizes = [r["count"] for r in parts.groupBy("__part").count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 200
+def test_a_hot_key_is_split_as_the_join_runs(spark, frame):
+    """Most rows of the right side under one key: the join's own task is cut into several."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        right = spark.range(60_000, numPartitions=8).selectExpr("cast(if(id % 10 = 0, id, 1) as int) as k", "id as b")
+        left = spark.range(2_000).selectExpr("cast(id as int) as k", "id as a")
+        joined = joins.skew_left_join(left, right, ["k"])
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_the_day_of_visitors_reaches_the_scan(spark, folder):
+    path = folder("visitors")
+    spark.createDataFrame([("v", "2024-01-14T08:00:00Z")], "visitor_key string, created_at string").write.parquet(path)
+    assert "GreaterThanOrEqual(created_at,2024-01-14)" in plan(recent_visitors(spark.read.parquet(path), "2024-01-15"))

@@ -17,7 +17,7 @@ def test_settings_are_on_the_session(spark):
     assert session.apply_settings(spark) is spark
 
 
-@pytest.mark.parametrize("size, partitions", [(0, 200), (10**9, 200), (10**12, 7451), (10**15, 100_000)])
+@pytest.mark.parametrize("size, partitions", [(0, 200), (10**9, 200), (10**12, 7451), (10**15, 7_450_581)])
 def test_shuffle_partitions_grow_with_the_input(size, partitions):
     assert session.shuffle_partitions(size) == partitions
 
@@ -62,12 +62,5 @@ def test_json_export_keeps_nulls(spark, frame, folder):
     assert json.loads(line.value) == {"k": "a", "v": None}
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    cores = tables.cores(spark)
-    assert tables.spread(spark.range(10, numPartitions=1), "id").rdd.getNumPartitions() == cores
-    many = spark.range(10, numPartitions=cores + 3)
-    assert tables.spread(many, "id").rdd.getNumPartitions() == cores + 3
-
-
 def test_has_rows(frame):
     assert not tables.has_rows(frame([], "k int")) and tables.has_rows(frame([(1,)], "k int"))
