@@ -85,16 +85,41 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return map_parts(documents(docs), begin, "doc_id bigint, n_shingles bigint, set_key binary, keys array<bigint>")
 
 
-def union_sketch(a: np.ndarray, b: np.ndarray, k: int = SKETCHED) -> float:
-    """Similarity of two sets as the least k values of their union tell it."""
-    least = np.union1d(a[:k], b[:k])[:k]
-    shared = np.intersect1d(a[:k], b[:k], assume_unique=True)
-    return np.searchsorted(shared, least[-1], side="right") / len(least)
+def union_sketches(a: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Similarity of set ``a`` to each of ``rows`` as the least values of their union tell it.
+
+    Sketches are rows of SKETCHED values in order, with NO_VALUE behind a shorter one.
+    """
+    both = np.sort(np.concatenate([np.broadcast_to(a, rows.shape), rows], axis=1), axis=1)
+    real = both != NO_VALUE
+    again = np.zeros(both.shape, dtype=bool)
+    again[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
+    rank = np.cumsum(real & ~again, axis=1)
+    inside = rank <= SKETCHED
+    return (again & inside).sum(axis=1) / np.minimum(rank[:, -1], SKETCHED)
+
+
+NO_VALUE = np.uint64((1 << 64) - 1)
+# Values of a group's sets up to which one index of them all is kept.
+INDEXED_VALUES = 10_000_000
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
+class Index:
+    """Inverted lists: from values to the numbers of the sets that hold them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        values = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], owner[order]
+
+    def overlaps(self, values: np.ndarray) -> np.ndarray:
+        """How many of the values each set holds."""
+        lows, highs = np.searchsorted(self.values, values), np.searchsorted(self.values, values, side="right")
+        spans = highs - lows
+        at = np.repeat(lows - np.append(0, np.cumsum(spans)[:-1]), spans) + np.arange(spans.sum())
+        return np.bincount(self.owner[at], minlength=self.n)
 
 
 class Group:
@@ -103,30 +128,27 @@ class Group:
     def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
         self.sets, self.percent = sets, percent
         self.sizes = np.array([len(s) for s in sets])
-        low = [s[:SKETCHED] for s in sets]
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in low])
-        values = np.concatenate(low)
-        order = np.argsort(values, kind="stable")
-        self.values, self.owner = values[order], owner[order]
+        self.sketches = np.full((len(sets), SKETCHED), NO_VALUE, dtype=np.uint64)
+        for row, own in zip(self.sketches, sets, strict=True):
+            row[: min(len(own), SKETCHED)] = own[:SKETCHED]
+        self.index = Index([s[:SKETCHED] for s in sets])
+        self.whole = Index(sets) if self.sizes.sum() <= INDEXED_VALUES else None
         self.least_share = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / SKETCHED) ** 0.5
 
     def partners(self, i: int) -> list[int]:
         """All sets linked to set i."""
-        mine = self.sets[i][:SKETCHED]
-        lows, highs = np.searchsorted(self.values, mine), np.searchsorted(self.values, mine, side="right")
-        spans = highs - lows
-        at = np.repeat(lows - np.append(0, np.cumsum(spans)[:-1]), spans) + np.arange(spans.sum())
-        overlaps = np.bincount(self.owner[at], minlength=len(self.sets))
-        sizes = self.sizes
+        sizes, mine = self.sizes, self.sets[i]
+        overlaps = self.index.overlaps(mine[:SKETCHED])
         fits = (100 * np.minimum(sizes, sizes[i]) >= self.percent * np.maximum(sizes, sizes[i])) & (overlaps > 0)
         fits &= overlaps >= np.minimum(np.minimum(sizes, sizes[i]), SKETCHED) * (self.least_share - 0.1)
         fits[i] = False
-        found = []
-        for j in np.flatnonzero(fits).tolist():
-            a, b = self.sets[i], self.sets[j]
-            if union_sketch(a, b) >= self.least_share and similar(a, b, self.percent):
-                found.append(j)
-        return found
+        found = np.flatnonzero(fits)
+        found = found[union_sketches(self.sketches[i], self.sketches[found]) >= self.least_share] if len(found) else found
+        if self.whole is not None and len(found) > 40:
+            shared = self.whole.overlaps(mine)[found]
+        else:
+            shared = np.array([len(np.intersect1d(mine, self.sets[j], assume_unique=True)) for j in found.tolist()], dtype=np.int64)
+        return found[100 * shared >= self.percent * (sizes[i] + sizes[found] - shared)].tolist()
 
     def links(self) -> list[tuple[int, int]]:
         """Links that join exactly the classes."""
