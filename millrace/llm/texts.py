@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,11 +44,25 @@ def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1) -> Iterator[p
         yield batch.slice(start)
 
 
+def share_code(context: SparkContext) -> None:
+    """Send the package to the executors once, for a driver that found it on a path of its own."""
+    if getattr(context, "_millrace_shared", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(archive, "w") as made:
+        for file in sorted(root.rglob("*.py")):
+            made.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))  # Spark serves it; executors do not read the driver's folder
+    context._millrace_shared = True
+
+
 def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, text: int | None = 1) -> DataFrame:
     """Rows of ``schema``, made in each task by ``function()(*columns) -> columns`` from parts of the rows.
 
     Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
     """
+    share_code(docs.sparkSession.sparkContext)
     made_as = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
