@@ -41,6 +41,7 @@ def json_export(spark, d):
     lines = documents.with_parsed(spark.read.text(path), "value", "doc")
     return lines.select(
         documents.field(doc, "invitee_id").alias("invitee_id"),
+        documents.field(doc, "channel").alias("channel"),
         documents.field(doc, "spend", "double").alias("spend"),
         (documents.has_key(doc, "channel") & documents.has_key(doc, "spend")).alias("whole"),
     )
@@ -124,7 +125,7 @@ QUERIES = {
         f"WITH {BOOKINGS_SQL} SELECT invitee_id AS doc_id, {', '.join(BOOKING_SILVER)} FROM bookings",
     ),
     "json_export": (
-        json_export, f"WITH {MART_SQL} SELECT invitee_id, spend, true AS whole FROM mart"
+        json_export, f"WITH {MART_SQL} SELECT invitee_id, channel, spend, true AS whole FROM mart"
     ),
     "required_fields_split": (
         required_fields_split,

@@ -52,6 +52,23 @@ def load_leads(spark, d):
     return rows.withColumn("date_created", F.col("date_created").cast("timestamp_ntz"))
 
 
+def load_first_arrival(spark, d):
+    """Turns of a conversation as deliveries of one lead; the first to arrive is inserted."""
+    new = table(spark, d, "conversations").select(
+        F.col("conv_id").cast("string").alias("lead_id"),
+        F.col("role").alias("display_name"),
+        F.md5("text").alias("lead_email"),
+        F.col("turn").cast("string").alias("lead_owner"),
+        F.lit("chat").alias("funnel"),
+        F.lit(None).cast("string").alias("status_label"),
+        F.lit("2024-01-02 03:04:05").alias("date_created"),
+        F.timestamp_seconds(F.col("turn")).alias("ingest_ts"),
+    )
+    target = table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("lead_id"))
+    rows = p.load_leads(new, target)
+    return rows.withColumn("date_created", F.col("date_created").cast("timestamp_ntz"))
+
+
 def upsert_latest(spark, d):
     return latest_per_key(table(spark, d, "conversations"), ["conv_id"], ["turn"])
 
@@ -92,6 +109,14 @@ QUERIES = {
         SELECT * EXCLUDE (toxic) REPLACE (CAST(date_created AS TIMESTAMP) AS date_created)
         FROM gold WHERE toxic <> 1""",
     ),
+    "load_first_arrival": (
+        load_first_arrival,
+        """SELECT CAST(conv_id AS VARCHAR) AS lead_id, role AS display_name, md5(text) AS lead_email,
+          CAST(turn AS VARCHAR) AS lead_owner, 'chat' AS funnel, CAST(NULL AS VARCHAR) AS status_label,
+          TIMESTAMP '2024-01-02 03:04:05' AS date_created
+        FROM conversations WHERE conv_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, md5(text)) = 1""",
+    ),
     "upsert_latest": (
         upsert_latest,
         """SELECT * FROM conversations

@@ -32,6 +32,11 @@ def mart_roundtrip(spark, d):
     return tables.load_mart(spark, path)
 
 
+def mart_types(spark, d):
+    """Columns of the saved mart and their types."""
+    return spark.createDataFrame(mart_roundtrip(spark, d).dtypes, "name string, kind string")
+
+
 def mart_rows(spark, d):
     """The mart refreshed from the catalog table; rows and days saved."""
     marketing(spark, d).createOrReplaceTempView("marketing")
@@ -180,6 +185,13 @@ QUERIES = {
         marketing_scan,
         f"WITH {MART_SQL} SELECT status, count(*) AS n, max(start_time) AS latest FROM mart GROUP BY status",
     ),
+    "mart_types": (
+        mart_types,
+        f"""WITH {MART_SQL}, kinds AS (
+          SELECT column_name AS name, column_type AS kind FROM (DESCRIBE SELECT * FROM mart))
+        SELECT name, CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+          WHEN 'INTEGER' THEN 'int' ELSE lower(kind) END AS kind FROM kinds""",
+    ),
     "mart_roundtrip": (mart_roundtrip, f"WITH {MART_SQL} SELECT * FROM mart"),
     "mart_rows": (
         mart_rows, "SELECT CAST(ts AS DATE) AS booking_date, count(*) AS rows FROM events GROUP BY ALL"

@@ -76,7 +76,7 @@ def stream_warehouse(spark, d):
 def stream_outbox(spark, d):
     """Messages of the leads that reached gold."""
     schema = T.StructType.fromDDL("lead_id string, text string, message string")
-    return runs.read_log(spark, f"{_leads(spark, d)}/outbox", schema).select("lead_id", "text")
+    return runs.read_log(spark, f"{_leads(spark, d)}/outbox", schema).drop(runs.BATCH)
 
 
 QUERIES = {
@@ -104,7 +104,8 @@ QUERIES = {
     ),
     "stream_outbox": (
         stream_outbox,
-        f"""WITH {GOLD_SQL} SELECT lead_id, 'New Lead: ' || display_name || ' | ' || lead_email
-          || ' | Owner: ' || lead_owner || ' | Funnel: ' || funnel || ' | Status: None' AS text FROM gold""",
+        f"""WITH {GOLD_SQL}, texts AS (SELECT lead_id, 'New Lead: ' || display_name || ' | ' || lead_email
+          || ' | Owner: ' || lead_owner || ' | Funnel: ' || funnel || ' | Status: None' AS text FROM gold)
+        SELECT lead_id, text, '{{"text":"' || text || '"}}' AS message FROM texts""",
     ),
 }
