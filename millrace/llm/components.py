@@ -8,14 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import checkpointed
+from millrace.llm.texts import checkpointed, join_counted
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Both directions of edges, with the least neighbour of ``u`` or ``u`` itself as ``m``."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    return both.join(least, "u").withColumn("m", F.least("u", "m"))
+    return join_counted(both, least, ["u"]).withColumn("m", F.least("u", "m"))
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v", most_rounds: int = 60) -> DataFrame:
@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", most_roun
         large = _with_least(current).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # in the second step a node and its smaller neighbours go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_counted(large, least, ["u"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = checkpointed(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

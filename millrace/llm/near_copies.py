@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import hashing
 from millrace.llm.components import UnionFind, connected_components, groups
-from millrace.llm.texts import checkpointed, documents, map_parts
+from millrace.llm.texts import checkpointed, documents, join_counted, map_parts
 
 SHINGLE, PERCENT = 3, 85
 INDEXED, SKETCHED = 8, 64
@@ -205,11 +205,11 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bl
     distinct = checkpointed(distinct)
     listed = distinct.select("id", F.explode("keys").alias("key"))
     stars = listed.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = listed.join(stars, "key").where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    edges = join_counted(listed, stars, ["key"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
     candidates = checkpointed(connected_components(edges))
     # blocks of large groups; each pair of blocks is one task, a small group has one block alone
     counted = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    placed = candidates.join(counted, "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = join_counted(candidates, counted, ["component"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own"))
     )

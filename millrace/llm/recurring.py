@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import map_parts, written
+from millrace.llm.texts import join_counted, map_parts, written
 
 # Segments of one anchor in a slot of its shard.
 SLOT_ROWS = 20_000
@@ -75,9 +75,9 @@ def recurring_segments(docs: DataFrame, find: Callable, covered: Callable, name:
         .where("n > 1")
         .select("key", F.when(F.col("low") < F.col("high"), F.ceil(F.col("n") / SLOT_ROWS)).otherwise(0).cast("int").alias("slots"))
     )
-    again = found.join(anchors, "key")
+    again = join_counted(found, anchors, ["key"])
     contexts = again.groupBy("key", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "at")).alias("least"))
-    both = again.join(contexts, ["key", "context"])
+    both = join_counted(again, contexts, ["key", "context"])
     first = F.struct("doc", "at") == F.col("least")
     judged = both.select(
         "doc", "at", "key", F.when(first, F.col("slots")).otherwise(0).alias("slots"), covered(first, F.col("copies")).alias("covered")

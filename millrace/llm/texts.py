@@ -119,6 +119,18 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table that was grouped by the same keys; a hot key is split as the join runs.
+
+    Adaptive execution splits a join only if both sides come straight out of a shuffle, and a grouped table
+    that is dealt by its keys already would not be shuffled again, nor would what groups by them after the join. So the first key,
+    a bigint, is joined under a value of its own (one to one), and comes back as it was.
+    """
+    key = keys[0]
+    other = F.col(key).bitwiseXOR(F.lit(0x5851F42D4C957F2D))
+    return rows.withColumn(key, other).join(counted.withColumn(key, other), keys, how).withColumn(key, other)
+
+
 def crc_of_id() -> Column:
     """crc32 of doc_id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
