@@ -61,10 +61,14 @@ class PrefixCounts:
         self.halves: dict[bytes, tuple[int, bytes, bytes]] = {}
         for (a, b), i in self.rank.items():
             self.halves.setdefault(a + b, (i, a, b))
-        self.longest = max(map(len, self.vocabulary))
+        # longest token by its last four bytes; where they end none, a token has at most three bytes
+        self.reach: dict[bytes, int] = {}
+        for token in self.vocabulary:
+            if len(token) > 3:
+                self.reach[token[-4:]] = max(len(token), self.reach.get(token[-4:], 0))
         self.known: dict[tuple[bytes, bytes], bool] = {}
         self.pre_tokenizer = Tokenizer.from_file(path).pre_tokenizer
-        self.units, self.whole_units = Cache(self.unit, 300_000), Cache(self.whole, 50_000)
+        self.units, self.whole_units = Cache(self.unit, 500_000), Cache(self.whole, 50_000)
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def stays(self, left: bytes, right: bytes) -> bool:
@@ -90,8 +94,15 @@ class PrefixCounts:
 
     def pretoken(self, text: bytes) -> list[int]:
         """Token count of each prefix of one pretoken, from the prefix of one byte on."""
-        last, counts, vocabulary, known, longest = [b""], [0], self.vocabulary, self.known, self.longest
-        for end in range(1, len(text) + 1):
+        last, counts = [b""], [0]
+        self.extend(text, last, counts)
+        return counts[1:]
+
+    def extend(self, text: bytes, last: list[bytes], counts: list[int]) -> None:
+        """Last token and count of the prefixes that are not there yet."""
+        vocabulary, known, reach = self.vocabulary, self.known, self.reach.get
+        for end in range(len(counts), len(text) + 1):
+            longest = reach(text[end - 4 : end], 3) if end > 3 else end
             for start in range(end - longest if end > longest else 0, end):
                 token = text[start:end]
                 if token in vocabulary:
@@ -107,7 +118,37 @@ class PrefixCounts:
                     last.append(token)
                     counts.append(counts[start] + 1)
                     break
-        return counts[1:]
+
+    def learn(self, units: set[str]) -> None:
+        """Counts of units not met before; in order, so that each goes on from what it shares with the one before."""
+        kept = self.units
+        missing = sorted(u for u in units - kept.young.keys() if u not in kept.old and not ODD.search(u))
+        if len(kept.young) + len(missing) > kept.most:
+            kept.old, kept.young = kept.young, {}
+        before, last, counts = b"", [b""], [0]
+        for unit in missing:
+            raw, same = unit.encode(), 0
+            while raw[same : same + 1] == before[same : same + 1] and same < len(raw):
+                same += 1
+            del last[same + 1 :], counts[same + 1 :]
+            self.extend(raw, last, counts)
+            kept.young[unit] = as_steps(counts[1:])
+            before = raw
+
+    def texts(self, texts: list[str]) -> list[tuple[bytes, int]]:
+        """``text`` for several texts at once."""
+        plain = [not UNSETTLED.search(t) and not any(s in t for s in self.special) for t in texts]
+        cut = [UNIT.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        self.learn(set().union(*cut))
+        young, slow = self.units.young.get, self.units.get
+        made = []
+        for text, units, p in zip(texts, cut, plain, strict=True):
+            if p:
+                found = [young(u) or slow(u) for u in units]
+                made.append((b"".join([f[0] for f in found]), sum([f[1] for f in found])))
+            else:
+                made.append(self.text(text))
+        return made
 
     def unit(self, unit: str) -> tuple[bytes, int]:
         """Changes of the count along a unit, and its total."""
@@ -140,7 +181,8 @@ class PrefixCounts:
     def found(self, text: str) -> list[tuple[bytes, int]]:
         """Steps and totals along a text without special strings."""
         if not UNSETTLED.search(text):
-            return [self.units.get(u) for u in UNIT.findall(text)]
+            young, slow = self.units.young.get, self.units.get
+            return [young(u) or slow(u) for u in UNIT.findall(text)]
         # letters that the libraries class differently must not be cut by our own pattern
         return [self.whole_units.get(u) for u in WHOLE_UNIT.findall(text)]
 
@@ -176,7 +218,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "do
         counter = PrefixCounts(path)
 
         def step(ids, texts):
-            made = [counter.text(t or "") for t in texts.to_pylist()]
+            made = counter.texts([t or "" for t in texts.to_pylist()])
             return ids, [len(s) for s, _ in made], [n for _, n in made], [s for s, _ in made]
 
         return step
