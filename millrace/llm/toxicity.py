@@ -46,15 +46,17 @@ for _c in range(0x10000):
     _CODES[_c] = SYMBOL.get(chr(_c), OTHER if chr(_c).isalpha() else BORDER)
 
 WORD = re.compile(r"[^\W\d_]+")
-_SIGN = re.escape("".join(LOOKALIKE))
-# letters and look-alikes in one stretch, with at least one of each; the caller checks that
-MIXED = re.compile(rf"(?:(?<=[^\W\d_])|(?=[{_SIGN}]+[^\W\d_]))[{_SIGN}]+(?=[^\W\d_])")
-STRETCH = re.compile(rf"[^\W\d_{_SIGN}]*(?:[{_SIGN}]+[^\W\d_{_SIGN}]+)+|[^\W\d_]+(?:[{_SIGN}]+[^\W\d_]*)+")
+_SIGNS = "".join(LOOKALIKE)
+_SIGN = re.escape(_SIGNS)
+# letters and look-alikes side by side, at least one of each
+STRETCH = re.compile(rf"[^\W\d_]+(?:[{_SIGN}]+[^\W\d_]*)+|[{_SIGN}]+[^\W\d_]+(?:[{_SIGN}]+[^\W\d_]*)*")
 REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 SPACED = re.compile(rf"(?<![^\W_])(?:[^\W\d_]|[{_SIGN}])(?:[ .\-_][^\W\d_{_SIGN}]|[ .\-_][{_SIGN}]){{2,}}(?![^\W_])")
 LONGEST = 400  # letters of one lattice; a longer stretch is decoded in pieces of this length
 STAY = math.log(0.9)
 CHANGE = math.log(0.1)
+# Chance that a word as written has this sign right behind it, in its own meaning.
+BEHIND = {c: math.log(0.02 if c == "!" else 0.005 if c in "*+|" else 0.001) for c in LOOKALIKE}
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
@@ -100,11 +102,13 @@ class Restorer:
                     total, x, y = score + chance, a, b
                     for c in text:
                         z = BORDER if c == " " else symbol.get(c, OTHER)
+                        if z == y == BORDER:  # one border between words
+                            continue
                         total, x, y = total + log[x, y, z], y, z
                     if (x, y) not in after or after[x, y][0] < total:
                         after[x, y] = (total, (path, text))
             states = after
-        best = max(states.items(), key=lambda s: s[1][0] + log[s[0][0], s[0][1], BORDER])[1][1]
+        best = max(states.items(), key=lambda s: s[1][0] + (0.0 if s[0][1] == BORDER else log[s[0][0], s[0][1], BORDER]))[1][1]
         made = []
         while best:
             best, text = best
@@ -112,21 +116,26 @@ class Restorer:
         return "".join(reversed(made))
 
     def options(self, stretch: str) -> list[list[tuple[str, float]]]:
-        """The lattice of a stretch in lower case. Blanks between letters stand for themselves or for nothing."""
+        """The lattice of a stretch in lower case. Blanks between letters stand for themselves or for nothing.
+
+        Signs at the end of a word stand for letters or for themselves, as a border.
+        """
         spaced = SPACED.fullmatch(stretch) is not None
         letters = [c for c in stretch if not (spaced and c in " .-_")]
         made: list[list[tuple[str, float]]] = []
+        behind = len(letters) if spaced else len(stretch.rstrip(_SIGNS))
         i = 0
         while i < len(letters):
             c, run = letters[i], 1
             while i + run < len(letters) and letters[i + run] == c:
                 run += 1
             read = [(x, CHANGE) for x in LOOKALIKE.get(c, "")] or [(c, 0.0)]
+            plain = [(" ", BEHIND[c])] if i >= behind else []
             if run >= 3:
-                made.append([(x * n, chance + (STAY if n == 1 else CHANGE)) for x, chance in read for n in (1, 2)])
+                made.append(plain + [(x * n, chance + (STAY if n == 1 else CHANGE)) for x, chance in read for n in (1, 2)])
                 i += run
             else:
-                made.append(read)
+                made.append(plain + read)
                 i += 1
             if spaced and i < len(letters):
                 made.append([("", STAY), (" ", CHANGE)])
@@ -138,14 +147,18 @@ class Restorer:
 
     def restore(self, low: str, mixed: bool = True, repeated: bool = True, spaced: bool = True) -> list[str]:
         """Restored words of the disguised stretches of a text in lower case; the flags say what it may hold."""
+        words = []
+        if mixed:
+            for m in STRETCH.finditer(low):
+                found = WORD.findall(self.restored.get(m.group()))
+                if found != WORD.findall(m.group()):  # else it is no disguise
+                    words += found
         found = []
-        if mixed and MIXED.search(low):
-            found += [m.group() for m in STRETCH.finditer(low)]
         if repeated:
             found += [m.group() for m in REPEATED.finditer(low)]
         if spaced:
             found += [m.group() for m in SPACED.finditer(low)]
-        return [w for stretch in found for w in WORD.findall(self.restored.get(stretch))]
+        return words + [w for stretch in found for w in WORD.findall(self.restored.get(stretch))]
 
 
 LETTER, SIGN, GAP = 1, 2, 4
