@@ -3,7 +3,8 @@
 The search (see ``recurring``) leaves segments of text whose anchor phrase recurs. Of the distinct contexts of an anchor, shard by
 shard, all windows are compiled into an Aho-Corasick automaton over word numbers; streaming the contexts
 through it locates every occurrence of every phrase, a phrase of several occurrences is a confirmed recurring passage, and
-all but its first occurrence are marked. Copies of a whole context are marked with it. Then each document drops the
+all but its first occurrence are marked. Copies of a whole context are marked with it. The windows of a crowded anchor, one of
+more than ``recurring.SLOT_ROWS`` segments, are grouped by their words instead. Then each document drops the
 words that a marked window covers.
 
 Null text has no words. Documents of fewer words than a window keep all. Order is by id, then by place; a null id
@@ -14,7 +15,6 @@ occurrence, so a repeated row takes nothing from the other.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import ahocorasick
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import hashing, recurring
 from millrace.llm.components import groups
-from millrace.llm.texts import map_parts
+from millrace.llm.texts import join_counted, map_parts
 
 WINDOW, ANCHOR = 20, 6
 # Contexts of one automaton; each holds at most about twice a window of words.
@@ -57,10 +57,6 @@ def find_segments(texts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR
     return doc, phrases[held[new]], context, recurring.pack(first - first_word[doc], last - first + 1, context)
 
 
-def window_slot(words: list[bytes], slots: int) -> int:
-    return zlib.crc32(b" ".join(words)) % slots
-
-
 class Words:
     """Words of a text and the check of a segment against them."""
 
@@ -78,50 +74,50 @@ class Words:
         return inside & ((context >> np.uint64(64 - recurring.CHECK_BITS)).astype(np.int64) == check)
 
 
-ASKED = "key bigint, slot int, slots int, doc bigint, start bigint, words string"
+ASKED = "key bigint, doc bigint, start bigint, words string"
 
 
-def asked_contexts(joined: DataFrame, window: int) -> DataFrame:
-    """Contexts that have to be compared, out of rows (doc, text, entries)."""
+def asked_contexts(joined: DataFrame, window: int, crowded: bool) -> DataFrame:
+    """ASKED rows of what has to be compared, out of rows (doc, text, entries).
+
+    Those of anchors in one slot are whole contexts; those of anchors in several (``crowded``) are single windows.
+    """
 
     def begin():
         def step(ids, texts, entries):
-            made: list[list] = [[], [], [], [], [], []]
+            made: list[list] = [[], [], [], []]
             for row, (doc, text) in enumerate(zip(ids.to_pylist(), texts.to_pylist(), strict=True)):
                 start, windows, check, key, slots, _ = recurring.entry_arrays(entries[row].values)
-                asked = slots > 0
+                asked = slots > 1 if crowded else slots == 1
                 if not asked.any():
                     continue
                 own = Words((text or "").encode(), window)
-                for s, n, k, many in zip(*(x[asked & own.hold(start, windows, check)].tolist() for x in (start, windows, key, slots)), strict=True):
-                    words = own.words[s : s + n + window - 1]
-                    held = {0} if many == 1 else {window_slot(words[i : i + window], many) for i in range(n)}
-                    for slot in held:
-                        for column, value in zip(made, (k, slot, many, doc, s, b" ".join(words).decode()), strict=True):
+                for s, n, k in zip(*(x[asked & own.hold(start, windows, check)].tolist() for x in (start, windows, key)), strict=True):
+                    for first, last in [(i, i + window) for i in range(s, s + n)] if crowded else [(s, s + n + window - 1)]:
+                        for column, value in zip(made, (k, doc, first, b" ".join(own.words[first:last]).decode()), strict=True):
                             column.append(value)
             return made
 
         return step
 
-    return map_parts(joined.select("doc", "text", "entries"), begin, ASKED)
+    wanted = joined.where(F.exists("entries", lambda e: e["slots"] > 1 if crowded else e["slots"] == 1))
+    return map_parts(wanted.select("doc", "text", "entries"), begin, ASKED)
 
 
 def _symbol(number: int) -> str:
     return chr(number + 1 if number < 0xD7FF else number + 0x801)
 
 
-def later_windows(contexts: list[tuple[int, int, list[str], int, int]], window: int) -> list[tuple[int, int]]:
+def later_windows(contexts: list[tuple[int, int, list[str]]], window: int) -> list[tuple[int, int]]:
     """(context number, window number) of all windows that also start earlier.
 
-    Contexts are (doc, start, words, slot, slots). The automaton holds every window once; the contexts are streamed through it.
+    Contexts are (doc, start, words). The automaton holds every window once; the contexts are streamed through it.
     """
     numbers: dict[str, int] = {}
-    texts = ["".join([_symbol(numbers.setdefault(w, len(numbers))) for w in words]) for _, _, words, _, _ in contexts]
+    texts = ["".join([_symbol(numbers.setdefault(w, len(numbers))) for w in words]) for _, _, words in contexts]
     phrases = ahocorasick.Automaton()
-    for text, (_, _, words, slot, slots) in zip(texts, contexts, strict=True):
+    for text in texts:
         for i in range(len(text) - window + 1):
-            if slots > 1 and window_slot([w.encode() for w in words[i : i + window]], slots) != slot:
-                continue
             phrase = text[i : i + window]
             if phrase not in phrases:
                 phrases.add_word(phrase, len(phrases))
@@ -131,7 +127,7 @@ def later_windows(contexts: list[tuple[int, int, list[str], int, int]], window:
     least: list[tuple[int, int] | None] = [None] * (len(phrases) + 1)
     hits = []
     for number, (text, context) in enumerate(zip(texts, contexts, strict=True)):
-        doc, start = context[:2]
+        doc, start, _ = context
         for end, phrase in phrases.iter(text):
             place = (doc, start + end - window + 1)
             hits.append((number, end - window + 1, phrase, place))
@@ -141,26 +137,36 @@ def later_windows(contexts: list[tuple[int, int, list[str], int, int]], window:
 
 
 def compare_contexts(asked: DataFrame, window: int) -> DataFrame:
-    """doc, start of the windows to be marked, out of ASKED rows that lie together by key and slot."""
+    """doc, start of the windows to be marked, out of ASKED rows, whole contexts."""
 
     def run(batches):
-        for tables in recurring.many_groups(groups(batches, 2), CONTEXTS_AT_ONCE):
+        for tables in recurring.many_groups(groups(batches, 1), CONTEXTS_AT_ONCE):
             table = pa.concat_tables(tables)
-            rows = zip(*(table[c].to_pylist() for c in ("doc", "start", "words", "slot", "slots")), strict=True)
-            contexts = [(doc, start, words.split(" "), slot, slots) for doc, start, words, slot, slots in rows]
+            rows = zip(*(table[c].to_pylist() for c in ("doc", "start", "words")), strict=True)
+            contexts = [(doc, start, words.split(" ")) for doc, start, words in rows]
             marked = sorted({(contexts[c][0], contexts[c][1] + i) for c, i in later_windows(contexts, window)})
             if marked:
                 yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in marked], pa.int64()), pa.array([m[1] for m in marked], pa.int64())], names=["doc", "start"])
 
-    return asked.repartition("key", "slot").sortWithinPartitions("key", "slot").mapInArrow(run, "doc bigint, start bigint")
+    return asked.repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc bigint, start bigint")
+
+
+def compare_windows(asked: DataFrame) -> DataFrame:
+    """doc, start of the windows to be marked, out of ASKED rows, single windows.
+
+    Equal windows are summed up before they are dealt out, so any number of contexts may share one.
+    """
+    least = asked.groupBy("key", "words").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start")).alias("least")).where("n > 1")
+    return join_counted(asked, least, ["key", "words"]).where(F.struct("doc", "start") != F.col("least")).select("doc", "start")
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept text of every document."""
     segments = recurring.recurring_segments(docs, lambda texts: find_segments(texts, window, anchor), lambda first, copies: ~first, "passages")
     texts = recurring.keyed(docs)
-    asked = asked_contexts(texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 0)), "doc"), window)
-    marked = compare_contexts(asked, window).groupBy("doc").agg(F.collect_set("start").alias("marked"))
+    asked = texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 0)), "doc")
+    compared = compare_contexts(asked_contexts(asked, window, False), window).unionByName(compare_windows(asked_contexts(asked, window, True)))
+    marked = compared.groupBy("doc").agg(F.collect_set("start").alias("marked"))
     joined = texts.join(segments, "doc", "left").join(marked, "doc", "left")
 
     def begin():
