@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import byte_repeats, decontamination, embeddings, languages, near_copies, packing, passages, secrets, token_counts, toxicity
+from millrace.llm import (
+    byte_repeats, decontamination, embeddings, languages, lexical, near_copies, oracles, packing, passages, secrets, token_counts, toxicity,
+)
 from millrace.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +58,11 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op13_ranked_search": oracles.RANKED_SEARCH}
