@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_repeats, decontamination, embeddings, languages, lexical, near_copies, oracles, packing, passages, secrets, token_counts, toxicity,
+    byte_repeats, conversations, decontamination, embeddings, languages, lexical, near_copies, oracles, packing, passages, secrets, token_counts, toxicity,
 )
 from millrace.session import apply_settings
 
@@ -58,6 +58,10 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,4 +69,4 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
-SQL: dict[str, str] = {"op13_ranked_search": oracles.RANKED_SEARCH}
+SQL: dict[str, str] = {"op12_conversation_repair": oracles.CONVERSATION_REPAIR, "op13_ranked_search": oracles.RANKED_SEARCH}
