@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_repeats, conversations, decontamination, embeddings, languages, lexical, near_copies, oracles, packing, passages, secrets, token_counts, toxicity,
+    byte_repeats, conversations, decontamination, embeddings, languages, lexical, mixing, near_copies, oracles, packing, passages, secrets, token_counts, toxicity,
 )
 from millrace.session import apply_settings
 
@@ -58,6 +58,10 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(conversations.damaged(table(spark, sf_dir, "conversations")))
 

@@ -1,0 +1,121 @@
+"""Mixing of sources against plain Python."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import pytest
+
+from llm_samples import ODD, ODD_SCHEMA, words
+from millrace.llm import mixing, registry
+
+SCHEMA = "doc_id bigint, text string, source string"
+
+
+def targets(sizes: dict) -> dict:
+    """Shares of 150 % by weight; what is above twice a source's words is shared anew."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    got = dict.fromkeys(order, 0.0)
+    rest, open_ = 1.5 * sum(sizes.values()), set(order)
+    while rest > 1e-9 and open_:
+        unit = rest / sum(weight[s] for s in open_)
+        rest = 0.0
+        for s in sorted(open_, key=order.index):
+            got[s] += unit * weight[s]
+            if got[s] >= 2 * sizes[s]:
+                rest += got[s] - 2 * sizes[s]
+                got[s] = float(2 * sizes[s])
+                open_.discard(s)
+    return got
+
+
+def rate(z: float, size: int) -> float:
+    return math.exp(min(z * size, math.log(2)))
+
+
+def multiplier(sizes: list[int], target: float) -> float:
+    """By halving: the words of min(2, exp(z * size)) rise with z."""
+    low, high = -50.0, math.log(2)
+    for _ in range(200):
+        z = (low + high) / 2
+        low, high = (z, high) if sum(s * rate(z, s) for s in sizes) < target else (low, z)
+    return high
+
+
+def copies(sizes: list[int], target: float) -> Counter:
+    """How many copies all documents of a size have together."""
+    z, made = multiplier(sizes, target), Counter()
+    left = target - sum(s * rate(z, s) for s in sizes)
+    for size, n in sorted(Counter(s for s in sizes if s).items(), reverse=True):
+        wanted = n * rate(z, size) * size + left
+        made[size] = min(max(math.floor(wanted / size + 0.5), 0), 2 * n)
+        left = wanted - made[size] * size
+    return made
+
+
+def agrees(docs: list[tuple], rows: list) -> None:
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == sorted((d[0] is None, d[0] or 0) for d in docs)
+    of_source: dict = {}
+    for _, text, source in docs:
+        of_source.setdefault(source, []).append(len(words(text)))
+    wanted = targets({s: sum(x) for s, x in of_source.items()})
+    ids = {d[0]: d[2] for d in docs}
+    got: dict = {s: Counter() for s in of_source}
+    for r in rows:
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
+        assert r.source_size == sum(of_source[ids[r.doc_id]]) and r.target == pytest.approx(wanted[ids[r.doc_id]], rel=1e-12)
+        got[ids[r.doc_id]][r.size] += r.copies
+    for source, sizes in of_source.items():
+        for size, n in copies(sizes, wanted[source]).items():
+            assert abs(got[source][size] - n) <= 1  # half a copy may be rounded either way
+        some = [s for s in sizes if s]
+        if some:
+            reached = sum(s * n for s, n in copies(some, wanted[source]).items())
+            assert abs(sum(s * n for s, n in got[source].items()) - wanted[source]) <= max(min(some), abs(reached - wanted[source]) + 1e-3)
+    for key, own in {(ids[r.doc_id], r.size): [] for r in rows}.items():
+        own += [r.copies for r in rows if (ids[r.doc_id], r.size) == key]
+        assert max(own) - min(own) <= 1
+
+
+def some_docs(seed: int, sources: list) -> list[tuple]:
+    draw = random.Random(seed)
+    docs = []
+    for k in range(400):
+        n = draw.choice([0, 1, 2, 3, 5, 8, 13]) if draw.random() < 0.7 else draw.randrange(300)
+        docs.append((k, None if draw.random() < 0.02 else " ".join("w" * draw.randrange(1, 5) for _ in range(n)), draw.choices(sources, [9, *[1] * (len(sources) - 1)])[0]))
+    return docs
+
+
+@pytest.mark.parametrize(("seed", "sources"), [(1, ["a", "b", "c", "é", "z", None]), (2, ["big", "a", "", None]), (3, ["only"])])
+def test_equals_plain_python(frame, seed, sources):
+    docs = some_docs(seed, sources)
+    agrees(docs, mixing.mix(frame(docs, SCHEMA)).collect())
+
+
+def test_buckets_and_reruns(frame, monkeypatch):
+    """Numbering in buckets gives each source and size its copies, and rows dealt otherwise give the same result."""
+    docs = some_docs(4, ["a", "b", None])
+    first = sorted(map(tuple, mixing.mix(frame(docs, SCHEMA)).collect()))
+    random.Random(5).shuffle(docs)
+    again = mixing.mix(frame(docs, SCHEMA).repartition(7))
+    assert sorted(map(tuple, again.collect())) == first
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    agrees(docs, mixing.mix(frame(docs, SCHEMA)).collect())
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    agrees(docs, registry.QUERIES["op11_mix_sources"](spark, sf_dir).select("doc_id", "size", "source_size", "target", "taken", "copies").collect())
+
+
+def test_odd_rows(frame):
+    odd = frame(ODD, ODD_SCHEMA).withColumnRenamed("row", "target").withColumnRenamed("score", "size")
+    rows = mixing.mix(odd).collect()
+    assert len(rows) == len(ODD) and sum(r.size for r in rows) == sum(len(words(r[1])) for r in ODD)
+    assert mixing.mix(odd.limit(0)).collect() == []
+    none = mixing.mix(odd.where("doc_id <= 3")).collect()
+    assert [(r.size, r.target, r.taken) for r in none] == [(0, 0.0, 0)] * 3
