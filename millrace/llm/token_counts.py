@@ -27,6 +27,8 @@ PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 # Stretches whose counts do not depend on what stands around them: pretokens, but a run of white space
 # together with the word after it, for a prefix that ends in the run takes the run as one pretoken.
 UNIT = regex.compile(r" ?\p{L}+|\s\s+\S*|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s")
+# White space as the tokenizer has it, which leaves U+001C to U+001F out.
+LEADING = regex.compile(r"\s*")
 WHOLE_UNIT = regex.compile(r"\s*\S+|\s+")
 # Below this character both libraries know the same letters and numbers.
 PAIRS_KEPT = 500_000
@@ -160,7 +162,7 @@ class PrefixCounts:
 
     def _counts(self, unit: str) -> list[int]:
         counts: list[int] = []
-        spaces = len(unit) - len(unit.lstrip()) if unit.strip() else len(unit)
+        spaces = LEADING.match(unit).end()
         # a prefix that ends in the leading white space is one run of white space
         leading = self.pretoken(unit[:spaces].encode())
         total = 0

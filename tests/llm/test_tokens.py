@@ -40,6 +40,28 @@ def test_every_prefix(counter, library, text):
     assert total == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_every_white_space_and_control_character(counter, library):
+    """Each of them between, before and behind others, at every prefix."""
+    odd = [chr(c) for c in [*range(33), *range(127, 161), 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
+    for a in odd:
+        for form in ("{a}", "\n\n{a}", "  {a}x", "{a}{a}{a} y", "x{a} {a}\x1c\x1dz", " {a}'re{a}", "\x1c\x1f{a} 1", "日{a} {a}本"):
+            text = form.format(a=a)
+            steps, total = counter.text(text)
+            counts = [token_counts.count_at(steps, len(text[:i].encode())) for i in range(len(text) + 1)]
+            assert counts == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)], repr(text)
+
+
+def test_random_prefixes(counter, library):
+    draw = random.Random(20)
+    letters = " \n\t\r\x0b\x1c\x1d\x1e\x1f\x85\xa0a1'é!日\u2003\u200b"
+    for _ in range(6_000):
+        text = "".join(draw.choices(letters, k=draw.randrange(1, 9)))
+        steps, total = counter.text(text)
+        assert total == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+        i = draw.randrange(len(text))
+        assert token_counts.count_at(steps, len(text[:i].encode())) == len(library.encode(text[:i], add_special_tokens=False).ids), repr(text)
+
+
 def test_budget(counter):
     steps, total = counter.text("The quick brown fox jumps over it.")
     at = token_counts.bytes_within(steps, 3)
