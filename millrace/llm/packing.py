@@ -17,8 +17,10 @@ is kept. Without documents there is no sequence.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -33,9 +35,10 @@ CAPACITY = 4096
 CLOSING = 1
 TOKENIZER = "word_bpe_49k.json"
 WORDS_KEPT = 250_000
-# Nodes of the search beyond the best-fit packing, and more of them where there are few lengths; a bound of effort,
+# Nodes of the search beyond the best-fit packing (at each it looks for one more length of a filling); a bound of effort,
 # not of data: every piece is in the packing that is found.
-SEARCH_NODES, SEARCH_STEPS = 6_000, 400_000
+SEARCH_NODES = 400_000
+AHEAD = 200
 # Pieces of one length and bucket that are numbered together.
 BUCKET_ROWS = 50_000
 
@@ -176,94 +179,220 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def completions(counts: dict[int, int], lengths: list[int], room: int, most: int) -> list[tuple[tuple[int, int], ...]]:
-    """Undominated fillings of ``room`` from the pieces left, the fullest first.
+class Left:
+    """Pieces left, by length; lengths of which there are some are bits of a number.
 
-    One filling dominates another if its pieces can be made from the other's by joining some into one place of a larger
-    piece. So a filling is kept only if no piece left fits the space it leaves, and none of its pieces can be exchanged
-    for a larger one that still fits.
+    ``sums`` are the spaces that lengths can fill, as bits, the largest space first. They are made anew when a length comes back that they
+    do not know, and now and then; in between they may hold sums of lengths that are used up, which only costs nodes.
     """
-    found: list[tuple[int, tuple]] = []
-    steps = 0
 
-    def fill(at: int, left: int, parts: tuple) -> None:
-        nonlocal steps
-        steps += 1
-        if steps > 50 * most or len(found) >= 4 * most:
-            return
-        at = min(at, bisect_right(lengths, left) - 1)
-        while at >= 0 and not counts[lengths[at]]:
-            at -= 1
-        if at < 0:
-            # exchange: a piece for the next larger length that is left and not used up here
-            used = dict(parts)
-            for length in used:
-                next_up = bisect_right(lengths, length)
-                while next_up < len(lengths) and lengths[next_up] - length <= left:
-                    if counts[lengths[next_up]] > used.get(lengths[next_up], 0):
-                        return
-                    next_up += 1
-            found.append((left, parts))
+    SUMS_HOLD = 64
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.counts, self.capacity = counts, capacity
+        self.lengths = sum(1 << k for k, n in counts.items() if n)
+        self.summed, self.taken, self.sums = 0, 0, 0
+
+    def refresh(self) -> None:
+        if not self.lengths & ~self.summed and self.taken < self.SUMS_HOLD:
             return
-        length = lengths[at]
-        for each in range(min(counts[length], left // length), -1, -1):
-            if each == 0 and at == 0:
-                found.append((left, parts))
-                return
-            fill(at - 1, left - each * length, (*parts, (length, each)) if each else parts)
-            if found and found[-1][0] == 0 and len(found) >= most:
-                return
+        whole, sums, lengths = (2 << self.capacity) - 1, 1, self.lengths
+        while lengths:
+            length = (lengths & -lengths).bit_length() - 1
+            lengths &= lengths - 1
+            if sums >> length & 1:  # then all its multiples are there
+                continue
+            shift = length
+            while shift <= self.capacity:
+                sums |= sums << shift & whole
+                shift *= 2
+        self.summed, self.taken = self.lengths, 0
+        self.sums = int(f"{sums:0{self.capacity + 1}b}"[::-1], 2)
+
+    def fills(self, space: int) -> bool:
+        """Whether lengths can fill a space to the end (used up ones among them)."""
+        return bool(self.sums >> (self.capacity - space) & 1)
+
+    def openings(self, space: int) -> int:
+        """Lengths that leave a space that can be filled."""
+        return self.sums >> (self.capacity - space) & self.lengths
+
+    def largest(self, most: int) -> int:
+        """The largest length up to ``most``; -1 if there is none."""
+        return (self.lengths & ((2 << most) - 1)).bit_length() - 1
+
+    def take(self, parts: tuple[tuple[int, int], ...], times: int) -> None:
+        self.taken += 1
+        for length, each in parts:
+            self.counts[length] -= each * times
+            if not self.counts[length]:
+                self.lengths ^= 1 << length
+
+    def give(self, parts: tuple[tuple[int, int], ...], times: int) -> None:
+        for length, each in parts:
+            if not self.counts[length]:
+                self.lengths ^= 1 << length
+            self.counts[length] += each * times
+
+
+class Effort:
+    """Nodes that a search may still visit."""
+
+    def __init__(self, nodes: int):
+        self.nodes = nodes
+
 
-    fill(len(lengths) - 1, room, ())
-    return [parts for _, parts in sorted(found, key=lambda f: (f[0], len(f[1])))[:most]]
+def dominated(left: Left, parts: list[tuple[int, int]], space: int) -> bool:
+    """Whether another filling takes the place of this one: some of its pieces go together into one larger piece that is left.
 
+    ``space`` is what the filling leaves free. Sums of its pieces are bits of two numbers, those of two pieces and more apart: a piece as
+    large as the sum of several is better, a piece as large as one is the same.
+    """
+    one, several, spare = 1, 0, left.lengths
+    for length, each in parts:
+        if left.counts[length] == each:
+            spare ^= 1 << length
+        for _ in range(each):
+            several |= (several | one & ~1) << length
+            one |= 1 << length
+    reached, shifted = (one | several) << 1 if space else 0, 1
+    while shifted < space:
+        more = min(shifted, space - shifted)
+        reached |= reached << more
+        shifted += more
+    return bool((reached | several) & spare)
+
+
+def fullest(left: Left, room: int, effort: Effort, most_free: int | None = None) -> Iterator[tuple[int, tuple[tuple[int, int], ...]]]:
+    """Undominated fillings of ``room`` from the pieces left: (space left free, parts), until the effort is spent.
+
+    The fullest come first, of equally full ones those of the largest pieces. Every undominated filling that leaves at most
+    ``most_free`` free comes once.
+    """
+    parts: list[tuple[int, int]] = []
+
+    def fill(space: int, most: int, free: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...]]]:
+        """Ways to fill ``space`` to the end with lengths up to ``most``."""
+        effort.nodes -= 1
+        if not space:
+            if not dominated(left, parts, free):
+                yield free, tuple(parts)
+            return
+        lengths = left.openings(space) & ((2 << most) - 1)
+        while lengths and effort.nodes > 0:
+            length = lengths.bit_length() - 1
+            lengths ^= 1 << length
+            for each in range(min(left.counts[length], space // length), 0, -1):
+                if left.fills(space - each * length):
+                    parts.append((length, each))
+                    yield from fill(space - each * length, length - 1, free)
+                    parts.pop()
+
+    for free in range(min(room, room if most_free is None else most_free) + 1):
+        if left.fills(room - free):
+            yield from fill(room - free, room, free)
+        if effort.nodes <= 0:
+            return
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = None, branches: int = 4) -> list[Filling]:
-    """Fillings that hold every piece: the best-fit packing, or a better one found by bin completion."""
+
+def largest(left: Left, room: int, effort: Effort, most_free: int | None = None) -> Iterator[tuple[int, tuple[tuple[int, int], ...]]]:
+    """The same fillings in another order: always the largest piece that fits, then whatever differs from that, the smallest pieces
+    first. Of those that the first ``AHEAD`` nodes find the fullest comes first."""
+    parts: list[tuple[int, int]] = []
+    until = effort.nodes - AHEAD
+
+    def fill(space: int, most: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...]] | None]:
+        effort.nodes -= 1
+        if effort.nodes == until:
+            yield None
+        length = left.largest(min(space, most))
+        if length < 0:
+            if (most_free is None or space <= most_free) and not dominated(left, parts, space):
+                yield space, tuple(parts)
+            return
+        for each in range(min(left.counts[length], space // length), -1, -1):
+            if effort.nodes <= 0:
+                return
+            if each:
+                parts.append((length, each))
+            yield from fill(space - each * length, length - 1)
+            if each:
+                parts.pop()
+
+    ways, first = fill(room, room), []
+    for filling in ways:
+        if filling is None:
+            break
+        first.append(filling)
+        if not filling[0]:
+            break
+    yield from sorted(first, key=lambda f: f[0])
+    yield from filter(None, ways)
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[Filling]:
+    """Fillings that hold every piece: the best-fit packing, or a better one found by bin completion.
+
+    Which filling a node tries first decides what a search of bounded effort finds, so both orders get a share of it.
+    """
     counts = {int(k): int(n) for k, n in counts.items() if n}
     if not counts:
         return []
-    best = best_fit(counts, capacity)
-    fewest = sum(f.times for f in best)
-    bound = lower_bound(counts, capacity)
-    if fewest == bound:
-        return best
+    best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
+    for fillings, share in ((largest, nodes // 2), (fullest, nodes - nodes // 2)):
+        if sequences(best) > bound:
+            best = _search(counts, capacity, best, bound, fillings, Effort(share))
+    return best
+
+
+def sequences(plan: list[Filling]) -> int:
+    return sum(f.times for f in plan)
+
+
+def _search(counts: dict[int, int], capacity: int, best: list[Filling], bound: int, fillings: Callable, effort: Effort) -> list[Filling]:
+    """Depth first over groups of equal sequences, from the incumbent ``best`` on.
+
+    A node is the table of pieces left, one for the whole search: a branch takes its pieces out and gives them back. What is
+    kept of a node is its filling and how many of its fillings were tried; the next one is made again when the search comes back.
+    """
+    fewest = sequences(best)
     total = sum(k * n for k, n in counts.items())
-    nodes = SEARCH_NODES + SEARCH_STEPS // len(counts) if nodes is None else nodes
-    # depth first over groups of equal sequences; a state is (pieces left, fillings so far, sequences, waste)
-    stack = [(counts, (), 0, 0)]
-    while stack and nodes:
-        nodes -= 1
-        left, made, used, waste = stack.pop()
-        spare = (fewest - 1) * capacity - total  # a packing that is better wastes no more than this
-        if waste > spare:
-            continue
-        lengths = sorted(k for k, n in left.items() if n)
-        if not lengths:
-            best, fewest = [Filling(p, t) for p, t in made], used
-            if fewest == bound:
-                break
-            continue
-        if len(made) % 64 == 0:  # best fit for what is left may already do
-            finish = best_fit({k: left[k] for k in lengths}, capacity)
-            if used + sum(f.times for f in finish) < fewest:
-                best, fewest = [*(Filling(p, t) for p, t in made), *finish], used + sum(f.times for f in finish)
-                if fewest == bound:
+    counts = dict(counts)
+    left = Left(counts, capacity)
+    path: list[tuple[Filling, int, int]] = []  # filling, space lost, fillings tried at its node
+    used, waste, tried = 0, 0, 0
+    while fewest > bound and effort.nodes > 0:
+        top = left.largest(capacity)
+        if top < 0:
+            best, fewest = [f for f, _, _ in path], used
+        elif not tried and len(path) % 64 == 0:  # best fit for what is left may already do
+            finish = best_fit({k: n for k, n in counts.items() if n}, capacity)
+            if used + sequences(finish) < fewest:
+                best, fewest = [*(f for f, _, _ in path), *finish], used + sequences(finish)
+        spare = (fewest - 1) * capacity - total - waste  # a packing that is better wastes no more than this
+        chosen = None
+        if top > 0 and spare >= 0:
+            left.take(((top, 1),), 1)
+            left.refresh()
+            for lost, parts in islice(fillings(left, capacity - top, effort, spare), tried, None):
+                tried += 1
+                each = sum(n for k, n in parts if k == top) + 1
+                joined = ((top, each), *(p for p in parts if p[0] != top))
+                times = min((counts[k] + (k == top)) // n for k, n in joined)
+                if lost * times <= spare:
+                    chosen = Filling(joined, times), lost * times, tried
                     break
-        top = lengths[-1]
-        rest = dict(left)
-        rest[top] -= 1
-        options = completions(rest, lengths, capacity - top, branches)
-        for parts in reversed(options):
-            joined: dict[int, int] = {top: 1}
-            for length, each in parts:
-                joined[length] = joined.get(length, 0) + each
-            times = min(left[length] // each for length, each in joined.items())
-            lost = (capacity - sum(k * n for k, n in joined.items())) * times
-            after = dict(left)
-            for length, each in joined.items():
-                after[length] -= each * times
-            stack.append((after, (*made, (tuple(sorted(joined.items(), reverse=True)), times)), used + times, waste + lost))
+            left.give(((top, 1),), 1)
+        if chosen:
+            path.append(chosen)
+            left.take(chosen[0].parts, chosen[0].times)
+            used, waste, tried = used + chosen[0].times, waste + chosen[1], 0
+        elif path:
+            filling, lost, tried = path.pop()
+            left.give(filling.parts, filling.times)
+            used, waste = used - filling.times, waste - lost
+        else:
+            break
     return best
 
 

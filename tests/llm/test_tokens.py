@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -138,3 +139,95 @@ def test_bin_completion_beats_best_fit():
     counts = Counter([44, 24, 24, 22, 21, 17, 8, 8, 6, 6, 10, 10])
     assert packing.lower_bound(counts, 100) == 2
     assert sum(f.times for f in packing.bin_completion(counts, 100)) == 2
+
+
+def undominated(counts: dict[int, int], room: int) -> set[tuple]:
+    """All fillings, without those whose pieces another one holds, put together into larger ones."""
+    lengths = sorted(counts, reverse=True)
+    fillings = [
+        tuple(zip(lengths, numbers, strict=True))
+        for numbers in product(*[range(counts[k] + 1) for k in lengths])
+        if sum(k * n for k, n in zip(lengths, numbers, strict=True)) <= room
+    ]
+    pieces = {f: [k for k, n in f for _ in range(n)] for f in fillings}
+
+    def holds(bins: list[int], small: list[int]) -> bool:
+        if not small:
+            return True
+        return any(holds([*bins[:i], b - small[0], *bins[i + 1 :]], small[1:]) for i, b in enumerate(bins) if b >= small[0])
+
+    return {
+        tuple((k, n) for k, n in f if n)
+        for f in fillings
+        if not any(g != f and holds(pieces[g], pieces[f]) for g in fillings)
+    }
+
+
+@pytest.mark.parametrize("order", [packing.largest, packing.fullest])
+def test_completions_are_all_undominated_fillings(order):
+    draw = random.Random(12)
+    cases = [({6: 1, 5: 1, 4: 1, 3: 1}, 10), ({3: 1}, 4), ({2: 3}, 1), ({1: 4}, 3)]
+    cases += [({draw.randrange(1, 13): draw.randrange(1, 3) for _ in range(draw.randrange(1, 6))}, draw.randrange(1, 19)) for _ in range(60)]
+    for counts, room in cases:
+        left = packing.Left(dict(counts), 20)
+        left.refresh()
+        found = [(space, tuple(sorted(parts, reverse=True))) for space, parts in order(left, room, packing.Effort(10**6))]
+        assert len(found) == len(set(found)) and {parts for _, parts in found} == undominated(counts, room), (counts, room)
+        assert all(space == room - sum(k * n for k, n in parts) for space, parts in found)
+    left = packing.Left({6: 1, 5: 1, 4: 1, 3: 1}, 20)
+    left.refresh()
+    assert list(order(left, 10, packing.Effort(100))) == [(0, ((6, 1), (4, 1)))]
+
+
+def fewest(pieces: tuple[int, ...], capacity: int) -> int:
+    """Sequences of the best packing, by trying all."""
+    best = len(pieces)
+
+    def place(at: int, rooms: list[int]) -> None:
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(pieces):
+            best = len(rooms)
+            return
+        for i, room in enumerate(rooms):
+            if pieces[at] <= room and room not in rooms[:i]:
+                place(at + 1, [*rooms[:i], room - pieces[at], *rooms[i + 1 :]])
+        place(at + 1, [*rooms, capacity - pieces[at]])
+
+    place(0, [])
+    return best
+
+
+def held(plan: list[packing.Filling], capacity: int) -> Counter:
+    made: Counter = Counter()
+    for filling in plan:
+        assert sum(k * n for k, n in filling.parts) <= capacity
+        for length, each in filling.parts:
+            made[length] += each * filling.times
+    return made
+
+
+def test_bin_completion_finds_the_best_packing():
+    draw = random.Random(13)
+    better = 0
+    for _ in range(150):
+        pieces = tuple(sorted((draw.randrange(12, 60) for _ in range(draw.randrange(1, 11))), reverse=True))
+        plan = packing.bin_completion(Counter(pieces), 100)
+        assert held(plan, 100) == Counter(pieces) and packing.sequences(plan) == fewest(pieces, 100)
+        better += packing.sequences(plan) < packing.sequences(packing.best_fit(Counter(pieces), 100))
+    assert better
+
+
+def test_bin_completion_in_bounded_memory():
+    import tracemalloc
+
+    draw = random.Random(14)
+    counts = Counter(min(4096, int(draw.lognormvariate(6.8, 0.5)) + 200) for _ in range(75_000))
+    counts.update(range(1, 4097))
+    tracemalloc.start()
+    plan = packing.bin_completion(counts, 4096, nodes=60_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held(plan, 4096) == counts and peak < 100e6
+    assert packing.sequences(plan) <= packing.sequences(packing.best_fit(counts, 4096))
