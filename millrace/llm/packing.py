@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import islice
 
 import numpy as np
@@ -110,12 +111,18 @@ class WordIds:
         ]
 
 
+@cache
+def word_ids(path: str) -> WordIds:
+    """One for all tasks of a Python worker: loading a vocabulary for each task costs time, and memory that comes back late."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, closing: int = CLOSING, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     path = public_tokenizers.path(tokenizer)
 
     def begin():
-        known = WordIds(path)
+        known = word_ids(path)
         end = np.array([closing], dtype="<u4").tobytes()
 
         def step(ids, texts):
