@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     marketing = job("marketing", "root", day=False)
     marketing.add_argument("--table", default="marketing")
     marketing.add_argument("--compacted", help="result of the compact job, read in place of the log")
+    marketing.add_argument("--keyed", action="store_true", help="current rows by keyed state, which goes on from the last run")
     job("refresh", "mart", day=False).add_argument("--table", default="marketing")
     job("report", "mart", "out").add_argument("--name", choices=REPORTS, required=True)
     return top
@@ -69,7 +70,10 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> object:
         return runs.compact(log, "invitee_id", a.out, previous=previous)
     if a.job == "marketing":
         log = runs.read_log(spark, f"{a.root}/gold", flows.BOOKING_GOLD_LOG)
-        current = spark.read.parquet(a.compacted) if a.compacted else runs.latest(log, "invitee_id")
+        if a.keyed:
+            current = flows.follow(spark, a.root, "bookings")
+        else:
+            current = spark.read.parquet(a.compacted) if a.compacted else runs.latest(log, "invitee_id")
         current = current.drop(runs.BATCH)
         return current.write.mode("overwrite").format("parquet").saveAsTable(a.table)
     if a.job == "refresh":

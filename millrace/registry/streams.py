@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import documents
+from millrace.operators.joins import insert_if_absent
 from millrace.registry.leads import GOLD_SQL
 from millrace.registry.views import (
-    AS_OF, BOOKINGS_SQL, CHANNEL_OF, SPEND_SQL, booking_body, lead_body, owners, scratch, spend, stream_table,
+    AS_OF, BOOKINGS_SQL, CHANNEL_OF, SPEND_SQL, booking_body, lead_body, owners, scratch, spend, stream_table, table,
 )
 from millrace.schemas import BOOKING_GOLD, BRONZE, LEAD_GOLD
-from millrace.streaming import flows, runs
+from millrace.streaming import flows, keyed, runs
 
 _FILE = ["file_path", "file_time"]
 
@@ -79,7 +80,47 @@ def stream_outbox(spark, d):
     return runs.read_log(spark, f"{_leads(spark, d)}/outbox", schema).drop(runs.BATCH)
 
 
+def stream_current(spark, d):
+    """Turns of a conversation in several micro-batches, every third one delivered again later, by keyed state."""
+    root = scratch(spark, "current")
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    rows.repartition(4).write.parquet(f"{root}/landed")
+    rows.where("turn % 3 = 0").repartition(2).write.mode("append").parquet(f"{root}/landed")
+    for files in (1, 2):  # stopped after some batches, then on to the end
+        landed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landed")
+        keyed.follow(landed, "conv_id", f"{root}/changes", f"{root}/_checkpoints/current", ["turn"])
+    return keyed.current(spark, f"{root}/_checkpoints/current", rows.schema, "conv_id")
+
+
+def load_indexed(spark, d):
+    """Line items as deliveries of their order, one micro-batch for each line number, into a table that takes an order once.
+
+    Each batch opens only the folders that may hold one of its orders; the last two are replayed.
+    """
+    root = scratch(spark, "indexed")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+    def insert(new, target):
+        return insert_if_absent(new, target, "l_orderkey")
+
+    for n in [*range(1, 8), 6, 7]:
+        runs.insert_batch(rows.where(F.col("l_linenumber") == n), n, insert, root, rows.schema, "l_orderkey")
+    rest = rows.where(~F.col("l_linenumber").between(1, 7) | F.col("l_linenumber").isNull())
+    runs.insert_batch(rest, 8, insert, root, rows.schema, "l_orderkey")
+    return runs.read_log(spark, root, rows.schema).drop(runs.BATCH)
+
+
 QUERIES = {
+    "stream_current": (
+        stream_current,
+        """SELECT conv_id, turn, role, text FROM conversations
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC, role DESC) = 1""",
+    ),
+    "load_indexed": (
+        load_indexed,
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""",
+    ),
     "stream_upsert": (
         stream_upsert,
         """SELECT * FROM conversations

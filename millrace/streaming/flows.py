@@ -17,7 +17,7 @@ from millrace.operators.required import split_required
 from millrace.plans import bookings, leads
 from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, BRONZE, CHANNELS, LEAD_GOLD
 from millrace.sources import landing
-from millrace.streaming import runs
+from millrace.streaming import keyed, runs
 
 _ARRIVED = [f for f in BRONZE if f.name in ("file_path", "file_time", "ingest_ts")]
 
@@ -83,7 +83,8 @@ def run_bookings(
         def insert(new: DataFrame, target: DataFrame, names: list[str] = schema.names) -> DataFrame:
             return bookings.load_bookings(new, target).select(*names)
 
-        runs.append_absent(gold, insert, f"{root}/warehouse/{name}", schema, f"{root}/_checkpoints/{name}")
+        table, progress = f"{root}/warehouse/{name}", f"{root}/_checkpoints/{name}"
+        runs.append_absent_indexed(gold, insert, table, schema, progress, "invitee_id")
 
 
 def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFrame) -> None:
@@ -107,6 +108,18 @@ def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFra
     runs.each_batch(silver, to_gold, root, f"{root}/_checkpoints/gold")
     gold = runs.stream_log(spark, f"{root}/gold", LEAD_GOLD_LOG)
     runs.each_batch(gold, to_outbox, root, f"{root}/_checkpoints/outbox")
-    runs.append_absent(
-        gold, leads.load_leads, f"{root}/warehouse", LEAD_WAREHOUSE, f"{root}/_checkpoints/warehouse"
-    )
+    table, progress = f"{root}/warehouse", f"{root}/_checkpoints/warehouse"
+    runs.append_absent_indexed(gold, leads.load_leads, table, LEAD_WAREHOUSE, progress, "lead_id")
+
+
+def follow(spark: SparkSession, root: str, of: str) -> DataFrame:
+    """The current gold row of each booking or lead, by keyed state that goes on from the last call.
+
+    ``of`` is ``bookings`` or ``leads``. A call costs what has arrived since, and the reading of the current rows; rows that
+    changed are in ``root/changes``, batch by batch.
+    """
+    key, schema = {"bookings": ("invitee_id", BOOKING_GOLD_LOG), "leads": ("lead_id", LEAD_GOLD_LOG)}[of]
+    checkpoint = f"{root}/_checkpoints/current"
+    gold = runs.stream_log(spark, f"{root}/gold", schema)
+    keyed.follow(gold, key, f"{root}/changes", checkpoint)
+    return spark.createDataFrame([], schema) if gold is None else keyed.current(spark, checkpoint, schema, key)

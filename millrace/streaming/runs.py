@@ -7,12 +7,14 @@ Tables keyed by a business id are read through ``latest``: last arrival wins.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import key_index
 from millrace.operators.dedup import latest_per_key
 from millrace.schemas import ARRIVAL
 from millrace.sources import tables
@@ -125,3 +127,56 @@ def append_absent(
         write_batch(insert(batch, target.where(target[BATCH] != batch_id)), root, batch_id)
 
     _run(stream, handle, checkpoint)
+
+
+# Beside the batch folders of an indexed table; readers of the table pass folders with such names over.
+KEYS, PROBES = "_keys", "_probes"
+
+
+def _folders(rows: DataFrame) -> set[int]:
+    """Batch numbers of a log, from the names of its files."""
+    return {int(m[1]) for f in rows.inputFiles() if (m := re.search(rf"/{BATCH}=(\d+)/", f))}
+
+
+def insert_batch(
+    batch: DataFrame,
+    batch_id: int,
+    insert: Callable[[DataFrame, DataFrame], DataFrame],
+    root: str,
+    schema: T.StructType,
+    key: str,
+) -> None:
+    """One micro-batch of ``append_absent`` on a table with an index of its keys.
+
+    ``insert(batch, target)`` gets as target only the batch folders that may hold a key of the batch, by ``key_index``; a folder
+    without an index is among them. The folder that is written gets its index, and ``_probes`` how many folders there
+    were and how many were opened. A replayed batch replaces all three.
+    """
+    spark = batch.sparkSession
+    target = read_log(spark, root, schema)
+    kind = schema[key].dataType
+    index_schema = T.StructType([*key_index.schema(kind).fields, T.StructField(BATCH, T.IntegerType())])
+    index = tables.optional_table(spark, f"{root}/{KEYS}", index_schema)
+    others = _folders(target) - {batch_id}
+    indexed = _folders(index) & others
+    found = key_index.may_hold(index.where(index[BATCH] != batch_id), BATCH, batch, key) if indexed else []
+    opened = sorted((others - indexed) | (others & set(found)))
+    write_batch(insert(batch, target.where(target[BATCH].isin(opened))), root, batch_id)
+    written = spark.read.schema(schema).parquet(f"{root}/{BATCH}={batch_id}")
+    write_batch(key_index.build(written, key), f"{root}/{KEYS}", batch_id)
+    probe = spark.range(1).select(F.lit(len(others)).cast("bigint").alias("folders"), F.lit(len(opened)).cast("bigint").alias("opened"))
+    probe.coalesce(1).write.mode("overwrite").parquet(f"{root}/{PROBES}/{BATCH}={batch_id}")
+
+
+def append_absent_indexed(
+    stream: DataFrame | None,
+    insert: Callable[[DataFrame, DataFrame], DataFrame],
+    root: str,
+    schema: T.StructType,
+    checkpoint: str,
+    key: str,
+) -> None:
+    """``append_absent`` that opens only the folders of the table that may hold keys of the batch."""
+    if stream is None:
+        return
+    _run(stream, lambda batch, batch_id: insert_batch(batch, batch_id, insert, root, schema, key), checkpoint)
