@@ -22,7 +22,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", most_roun
     """id, component (the least id that can be reached) of every id that an edge names.
 
     Alternates two steps until nothing changes: link the larger neighbours of a node to its least neighbour, then the
-    smaller ones. The number of rounds grows with the logarithm of the size. Edges to nothing (null) are left out.
+    smaller ones. The number of rounds grows with the logarithm of the size; beyond ``most_rounds`` it raises an error and gives no
+    half result. Edges to nothing (null) are left out.
     """
     links = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u is not null and v is not null")
     nodes = None
@@ -39,6 +40,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", most_roun
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components are not at rest after {most_rounds} rounds")
     # at rest every edge leads from a node to the least node of its component
     found = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = found.select(F.col("component").alias("id"), "component")
