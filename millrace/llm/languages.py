@@ -33,7 +33,8 @@ TRAINING_DOCS = 1_000
 ROUNDS = 2
 SMOOTHING = 0.05
 WORDS_KEPT = 600_000
-# After fitting, pieces of several letters that are expected less often than this in every language are dropped.
+# After fitting, pieces of several letters that are expected less often than this in every language have no probability in any: words are
+# cut into shorter pieces there.
 LEAST_EXPECTED = 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's sign of a word start
@@ -66,35 +67,30 @@ class Pieces:
         if found is None and len(text) == 1:
             found = self.spelled.get(text)
             if found is None:
-                found = self.one
+                found = self.one  # at most four bytes, none of them rarer than 1e-12: no underflow
                 for byte in text.encode():
                     found = tuple(a * b for a, b in zip(found, self.table.get(f"<0x{byte:02X}>", self.zero), strict=True))
                 self.spelled[text] = found
         return found
 
-    def forward(self, word: str) -> tuple[list, list[float]]:
-        """Sums over all segmentations of each prefix, and the log of what they were scaled by."""
+    def logs(self, word: str, k: int) -> list[float]:
+        """Logs of the sums over all segmentations of each prefix, in language k: for words whose sums are too small for numbers."""
         table, longest, piece = self.table, self.longest, self.piece
-        sums, scale = [self.one], [0.0]
+        sums = [0.0]
         for end in range(1, len(word) + 1):
-            total = self.zero
+            terms = []
             for start in range(end - longest if end > longest else 0, end):
                 p = table.get(word[start:end]) if start < end - 1 else piece(word[start:end])
-                if p is not None:
-                    total = [t + a * b for t, a, b in zip(total, sums[start], p, strict=False)]
-            sums.append(total)
-            scale.append(scale[-1])
-            top = max(total)
-            if top < 1e-60:
-                # all sums that can still be used are scaled alike
-                factor = 1e60
-                for k in range(max(0, end - longest), end + 1):
-                    sums[k] = [x * factor for x in sums[k]]
-                scale[-1] -= math.log(factor)
-        return sums, scale
+                if p is not None and p[k] > 0:
+                    terms.append(sums[start] + math.log(p[k]))
+            sums.append(log_sum(terms))
+        return sums
 
     def log_likelihoods(self, words: list[str]) -> list[list[float]]:
-        """The logs of the last sums of ``forward``, word by word; sorted words share the sums of their common beginning."""
+        """The log of the sum over all segmentations, word by word; sorted words share the sums of their common beginning.
+
+        A word that cannot be made of pieces has -inf.
+        """
         table, longest, piece = self.table, self.longest, self.piece
         languages = range(len(self.zero))
         made, before = [], ""
@@ -102,10 +98,6 @@ class Pieces:
         sums: list[list[float]] = [[1.0] for _ in languages]
         for word in words:
             n, same = len(word), 0
-            if n > LONGEST_TRAINED:
-                last, scale = self.forward(word)
-                made.append([math.log(x) + scale[-1] if x > 0 else -1e9 for x in last[-1]])
-                continue
             while same < n and before[same : same + 1] == word[same]:
                 same += 1
             del found_at[same:]
@@ -121,12 +113,18 @@ class Pieces:
             for k in languages:
                 own = sums[k]
                 del own[same + 1 :]
-                for found in found_at[same:]:
+                for found in found_at[len(own) - 1 :]:
                     total = 0.0
                     for start, p in found:
                         total += own[start] * p[k]
                     own.append(total)
-                row.append(math.log(own[-1]) if own[-1] > 0 else -1e9)
+                    if total < LEAST_SUM:
+                        break
+                if own[-1] >= LEAST_SUM:
+                    row.append(math.log(own[-1]))
+                else:
+                    own.pop()  # a longer word must not go on from it
+                    row.append(self.logs(word, k)[-1])
             made.append(row)
             before = word
         return made
@@ -134,25 +132,34 @@ class Pieces:
     def expected(self, word: str) -> dict[str, float]:
         """Expected number of each piece in a word (first language of the table only)."""
         table, longest, piece, n = self.table, self.longest, self.piece, len(word)
-        sums = [s[0] for s in self.forward(word)[0]]
-        back = [0.0] * n + [1.0]
+        sums = self.logs(word, 0)
+        back = [-math.inf] * n + [0.0]
         counts: dict[str, float] = {}
-        if sums[n] <= 0:
+        if sums[n] == -math.inf:
             return counts
         for start in range(n - 1, -1, -1):
+            terms = []
             for end in range(start + 1, min(n, start + longest) + 1):
                 p = table.get(word[start:end]) if end > start + 1 else piece(word[start:end])
-                if p is not None:
-                    back[start] += p[0] * back[end]
-                    share = sums[start] * p[0] * back[end] / sums[n]
+                if p is not None and p[0] > 0 and back[end] > -math.inf:
+                    terms.append(math.log(p[0]) + back[end])
+                    share = math.exp(sums[start] + terms[-1] - sums[n])
                     if share > 0:
                         text = word[start:end]
                         for name in [text] if text in table else [f"<0x{b:02X}>" for b in text.encode()]:
                             counts[name] = counts.get(name, 0.0) + share
+            back[start] = log_sum(terms)
         return counts
 
 
-LONGEST_TRAINED = 60  # words beyond this length are left out of the expected counts; sums within it need no scale
+# Sums from here on are exact as numbers, whatever their terms; smaller ones are worked out in logarithms.
+LEAST_SUM = 1e-250
+
+
+def log_sum(logs: list[float]) -> float:
+    """The log of a sum of numbers given by their logs."""
+    top = max(logs, default=-math.inf)
+    return top if top == -math.inf else top + math.log(sum(math.exp(x - top) for x in logs))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -191,9 +198,8 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, training_docs: int = TRAI
             def step(langs, texts, numbers):
                 counts: dict[tuple[str, str], float] = {}
                 for lang, word, n in zip(langs.to_pylist(), texts.to_pylist(), numbers.to_pylist(), strict=True):
-                    if len(word) <= LONGEST_TRAINED:
-                        for piece, share in own[lang].expected(START + word).items():
-                            counts[lang, piece] = counts.get((lang, piece), 0.0) + share * n
+                    for piece, share in own[lang].expected(START + word).items():
+                        counts[lang, piece] = counts.get((lang, piece), 0.0) + share * n
                 return [k[0] for k in counts], [k[1] for k in counts], list(counts.values())
 
             return step
@@ -240,7 +246,9 @@ def language_scores(rows: DataFrame, languages: list[str], table: dict, passed:
             full = np.flatnonzero(sizes)
             sums[full] = np.add.reduceat(sums_of[at], np.cumsum(sizes)[full] - sizes[full], axis=0)
             best = sums.argmax(axis=1)
-            score = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
+            top = sums.max(axis=1, keepdims=True)
+            # a text that no language can spell says nothing about its language
+            score = 1 / np.exp(np.where(np.isinf(top), 0.0, sums - top)).sum(axis=1)
             score[sizes == 0] = 0
             return more, [languages[b] if n else UNKNOWN for b, n in zip(best, sizes, strict=True)], score
 

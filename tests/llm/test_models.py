@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +41,48 @@ def test_long_words_keep_their_likelihood():
     assert math.isclose(model.log_likelihoods(["▁" + "a" * 2_000])[0][0], math.log(0.5) + 2_000 * math.log(0.01))
 
 
+def test_small_sums_equal_exact_fractions():
+    """Long runs of letters that only byte pieces spell, alone and behind others, against sums of fractions."""
+    draw = random.Random(11)
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "aab", *[f"<0x{b:02X}>" for b in "語ไ".encode()]]
+    table = {p: tuple(draw.choice([1e-2, 1e-6, 1e-11, 0.2]) for _ in range(3)) for p in pieces}
+
+    def spelled(c: str, k: int) -> Fraction:
+        if c in table:
+            return Fraction(table[c][k])
+        return math.prod(Fraction(table[f"<0x{b:02X}>"][k]) for b in c.encode())
+
+    def exact(word: str, k: int) -> float:
+        sums = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            longer = (sums[s] * Fraction(table[word[s:end]][k]) for s in range(max(0, end - 3), end - 1) if word[s:end] in table)
+            sums.append(sum(longer, sums[end - 1] * spelled(word[end - 1], k)))
+        top, low = sums[-1].numerator, sums[-1].denominator
+        return math.log(top) - math.log(low)
+
+    model = languages.Pieces(table, 3)
+    words = ["▁" + "語" * n for n in range(1, 201, 7)] + ["▁" + "ไ" * n + "ab" * n for n in range(1, 60, 3)] + ["▁aab" * 40 + "語", "▁ab", "▁aabab"]
+    for word, row in zip(sorted(words), model.log_likelihoods(sorted(words)), strict=True):
+        assert np.allclose(row, [exact(word, k) for k in range(3)], rtol=1e-9), word
+    assert model.log_likelihoods(["▁x"]) == [[-math.inf] * 3]
+
+
+def test_a_run_of_letters_tips_no_text_by_itself(spark):
+    """Runs of 1 to 200 letters without blanks: the log sums go on evenly, none falls to a floor."""
+    known, table = languages.fit(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    model = languages.Pieces(table, len(known))
+    for letter in "語ไж가":
+        rows = np.array(model.log_likelihoods(["▁" + letter * n for n in range(1, 201)]))
+        steps = np.diff(rows, axis=0)
+        assert np.isfinite(rows).all() and (steps < 0).all() and np.allclose(steps[20:], steps[20], rtol=1e-6)
+
+
+def test_expected_counts_of_long_words():
+    table = {"▁": (0.1,), "a": (1e-5,), "aa": (1e-11,), "b": (0.01,)}
+    counts = languages.Pieces(table, 1).expected("▁" + "a" * 300 + "b")
+    assert math.isclose(counts["a"] + 2 * counts["aa"], 300) and math.isclose(counts["b"], 1)
+
+
 def test_held_out_languages(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = registry.QUERIES["op3_language_id"](spark, SMALL).collect()
