@@ -61,11 +61,16 @@ def _with_nothing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return left.select(*keys, *[c for c in left.columns if c not in keys], *nothing)
 
 
-def skew_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left outer join where one key may hold much of the right side."""
+def skew_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], present: DataFrame | None = None
+) -> DataFrame:
+    """Left outer join where one key may hold much of the right side.
+
+    ``present`` has the keys of ``right``, where they are cheaper to come by.
+    """
     matched = left.join(right, list(keys))
     known = left.where(_no_null(keys))
-    alone = known.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    alone = known.join((right if present is None else present).select(*keys).distinct(), list(keys), "left_anti")
     rest = alone.unionByName(left.where(~_no_null(keys)))
     return matched.unionByName(_with_nothing(rest, right, keys))
 

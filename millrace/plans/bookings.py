@@ -16,7 +16,7 @@ from millrace.schemas import ARRIVAL, BOOKING_GOLD, BOOKING_SILVER, CHANNELS
 from millrace.sources import tables
 
 _DOC = "__doc"
-_FLAT = "__flat"
+FLAT = "flat"
 _EVENT = "payload.scheduled_event"
 _HOST = f"{_EVENT}.event_memberships[0]"
 
@@ -67,15 +67,19 @@ def _rules(doc: Column, flat: str) -> dict[str, Column]:
 def booking_silver(bronze: DataFrame, channels: Mapping[str, str] = CHANNELS) -> Split:
     """Flat bookings out of bronze ``body`` documents, and the documents that lack a field.
 
-    Other columns of ``bronze``, such as arrival times, are carried along.
+    Other columns of ``bronze``, such as arrival times, are carried along. The judged rows, from one parse, are the columns of ``bronze``,
+    ``flat`` with the fields of the document, and the reasons.
     """
     kept = [c for c in bronze.columns if c not in ("body", *BOOKING_SILVER)]
     parsed = documents.with_parsed(bronze, "body", _DOC)
-    parsed = documents.with_once(parsed, _FLAT, _flat(F.col(_DOC)))
-    valid, quarantine = split_required(parsed, _rules(F.col(_DOC), _FLAT))
-    channel = documents.lookup(F.col("event_type_id"), dict(channels))
-    flat = valid.select(*kept, f"{_FLAT}.*").withColumn("channel", channel)
-    return Split(flat.select(*BOOKING_SILVER, *kept), quarantine.drop(_DOC, _FLAT))
+    parsed = documents.with_once(parsed, FLAT, _flat(F.col(_DOC)))
+    judged = split_required(parsed, _rules(F.col(_DOC), FLAT)).judged.drop(_DOC)
+
+    def valid(rows: DataFrame) -> DataFrame:
+        channel = documents.lookup(F.col("event_type_id"), dict(channels))
+        return rows.select(*kept, f"{FLAT}.*").withColumn("channel", channel).select(*BOOKING_SILVER, *kept)
+
+    return Split(judged, valid, lambda rows: rows.drop(FLAT))
 
 
 def first_spend(spend: DataFrame, position: tuple[str, ...] = ("file_path", "pos")) -> DataFrame:

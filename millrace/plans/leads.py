@@ -11,6 +11,7 @@ from millrace.operators.required import Split, split_required
 from millrace.schemas import ARRIVAL, LEAD_GOLD
 
 _FIELDS = "__fields"
+_GOLD = "__gold"
 _OWNER = "__owner"
 _OWNER_FIELDS = "__owner_fields"
 
@@ -46,13 +47,17 @@ def lead_gold(silver: DataFrame) -> Split:
         silver, _FIELDS, documents.top_level(documents.parse(F.col("body")))
     )
     fields = F.col(_FIELDS)
+    texts = F.struct(*[documents.as_text(fields[name]).alias(name) for name in LEAD_GOLD])
     rules: dict[str, Column] = {"body": fields.isNotNull()}
     rules |= {name: F.map_contains_key(fields, name) for name in LEAD_GOLD[:-1]}
     rules[LEAD_GOLD[-1]] = documents.as_text(fields[LEAD_GOLD[-1]]).isNotNull()
-    valid, quarantine = split_required(parsed, rules)
-    gold = valid.select(*[documents.as_text(fields[name]).alias(name) for name in LEAD_GOLD], *kept)
-    trimmed = gold.withColumn("date_created", text.trim_timestamp(F.col("date_created")))
-    return Split(trimmed, quarantine.drop(_FIELDS))
+    judged = split_required(parsed.withColumn(_GOLD, texts), rules).judged.drop(_FIELDS)
+
+    def valid(rows: DataFrame) -> DataFrame:
+        gold = rows.select(f"{_GOLD}.*", *kept)
+        return gold.withColumn("date_created", text.trim_timestamp(F.col("date_created")))
+
+    return Split(judged, valid, lambda rows: rows.drop(_GOLD))
 
 
 def lead_outbox(gold: DataFrame) -> DataFrame:

@@ -20,7 +20,14 @@ def bronze_events(
     pages: DataFrame, as_of: date | str | None, media: Iterable[str] | DataFrame | None = None
 ) -> DataFrame:
     """Events of all landed pages since yesterday, for the wanted media."""
-    rows = since_yesterday(landing.feed_rows(pages, VIDEO_EVENTS), "received_at", as_of)
+    return recent_media(landing.feed_rows(pages, VIDEO_EVENTS), "received_at", as_of, media)
+
+
+def recent_media(
+    rows: DataFrame, time: str, as_of: date | str | None, media: Iterable[str] | DataFrame | None = None
+) -> DataFrame:
+    """Rows since yesterday, for the wanted media."""
+    rows = since_yesterday(rows, time, as_of)
     return rows if media is None else of_media(rows, media)
 
 
@@ -29,8 +36,7 @@ def bronze_stats(
 ) -> DataFrame:
     """Daily media figures since yesterday; ``pages`` carries the ``media_id`` of each page."""
     rows = landing.media_feed_rows(pages, MEDIA_STATS, F.col("media_id"))
-    rows = since_yesterday(rows, "date", as_of)
-    return rows if media is None else of_media(rows, media)
+    return recent_media(rows, "date", as_of, media)
 
 
 def bronze_visitors(pages: DataFrame, as_of: date | str | None) -> DataFrame:
@@ -50,14 +56,15 @@ def ingest(
     Pages lie under ``landed/<table>/ingest_date=<day>``, those of the daily figures one level
     deeper under ``media_id=<id>``. A feed without pages is skipped. Pages that are no JSON arrays
     go to ``bronze/bad_pages``, elements that break a rule to ``bronze/bad_rows``, both with the reasons.
+    Pages are read and parsed once: the judged elements are held on the executors' disks while the three are written.
     """
-    flatten = {
-        "visitors": lambda pages: bronze_visitors(pages, day),
-        "events": lambda pages: bronze_events(pages, day, media),
-        "media_stats": lambda pages: bronze_stats(pages, day, media),
+    recent = {
+        "visitors": lambda rows: recent_visitors(rows, day),
+        "events": lambda rows: recent_media(rows, "received_at", day, media),
+        "media_stats": lambda rows: recent_media(rows, "date", day, media),
     }
     written = []
-    for table, rows_of in flatten.items():
+    for table, rows_of in recent.items():
         schema = VIDEO_SCHEMAS[table]
         if table == "media_stats":
             schema = T.StructType([f for f in schema if f.name != "media_id"])
@@ -65,13 +72,13 @@ def ingest(
         pages = tables.if_present(lambda: landing.read_pages(spark, folder))
         if pages is None:
             continue
-        split = landing.split_pages(pages)
-        bad = split.quarantine.select("body", "reasons", F.lit(table).alias("feed"))
-        tables.write_layer(tables.with_day(bad, day), f"{bronze}/bad_pages", [tables.DAY, "feed"])
-        bad_rows = landing.split_feed(split.valid, schema).quarantine.select("element", "reasons", F.lit(table).alias("feed"))
-        tables.write_layer(tables.with_day(bad_rows, day), f"{bronze}/bad_rows", [tables.DAY, "feed"])
-        if write_bronze(rows_of(split.valid), bronze, table, day):
-            written.append(table)
+        with landing.split_landed(pages, schema).on_disk() as split:
+            broken = tables.with_day(split.quarantine.withColumn("feed", F.lit(table)), day)
+            for name, kept, column in (("bad_pages", "body is not null", "body"), ("bad_rows", "body is null", "element")):
+                bad = broken.where(kept).select(column, "reasons", "feed", tables.DAY)
+                tables.write_layer(bad, f"{bronze}/{name}", [tables.DAY, "feed"])
+            if write_bronze(rows_of(split.valid).select(*VIDEO_SCHEMAS[table].names), bronze, table, day):
+                written.append(table)
     return written
 
 
@@ -141,6 +148,8 @@ def video_gold(visitors: DataFrame, events: DataFrame, stats: DataFrame) -> Data
         visitors.select("visitor_key", "created_at", "load_count", "play_count"),
         enriched,
         ["visitor_key"],
+        # who has events is told by the events, before the figures are joined to them
+        present=events,
     )
     return joined.select(*VIDEO_GOLD, "event_date")
 

@@ -48,15 +48,13 @@ def json_export(spark, d):
 
 
 def required_fields_split(spark, d):
-    """Bookings without a host are set aside with the two fields they lack."""
-    split = b.booking_silver(_bronze(spark, d), CHANNEL_OF)
-    good = split.valid.select("invitee_id", F.lit("valid").alias("side"), F.lit("").alias("reasons"))
-    bad = split.quarantine.select(
-        landing.invitee_id_of(F.col("body")).alias("invitee_id"),
-        F.lit("quarantine").alias("side"),
-        F.array_join("reasons", " ").alias("reasons"),
+    """Bookings without a host are set aside with the two fields they lack; documents are read and parsed once."""
+    judged = b.booking_silver(_bronze(spark, d), CHANNEL_OF).judged
+    return judged.select(
+        "flat.invitee_id",
+        F.when(F.col("reasons").isNull(), "valid").otherwise("quarantine").alias("side"),
+        F.coalesce(F.array_join("reasons", " "), F.lit("")).alias("reasons"),
     )
-    return good.unionByName(bad)
 
 
 def booking_gold(spark, d):

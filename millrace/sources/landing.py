@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import documents, text
-from millrace.operators.required import Split, split_required
+from millrace.operators.required import REASONS, Split, split_required
 from millrace.schemas import SPEND
 from millrace.sources import tables
 
@@ -66,7 +66,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
-_ELEMENT, _DOC, _VALUES = "element", "__doc", "__values"
+_ELEMENT, _DOC, _VALUES, _BAD, _PLACE = "element", "__doc", "__values", "__bad_page", "__place"
 
 
 def split_pages(pages: DataFrame, page: str = "body") -> Split:
@@ -94,6 +94,25 @@ def split_feed(pages: DataFrame, row_schema: T.StructType, page: str = "body") -
     """
     rest = [c for c in pages.columns if c != page and c not in row_schema.names]
     elements = pages.select(*rest, F.explode(F.from_json(F.col(page), "array<string>")).alias(_ELEMENT))
+    return _judged_elements(elements, row_schema, rest)
+
+
+def split_landed(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> Split:
+    """``split_pages`` and ``split_feed`` in one pass: valid rows, and what is broken with the reasons.
+
+    A broken element has ``element``, a page that is no array has its text in column ``page`` instead, and the reason ``array``.
+    """
+    array = F.from_json(F.col(page), "array<string>")
+    rest = [c for c in pages.columns if c != page and c not in row_schema.names]
+    opened = pages.select(*rest, F.when(array.isNull(), F.col(page)).alias(page), array.isNull().alias(_BAD), F.posexplode_outer(array).alias(_PLACE, _ELEMENT))
+    # an array without elements leaves neither a place nor a bad page
+    elements = opened.where(F.col(_BAD) | F.col(_PLACE).isNotNull()).drop(_PLACE)
+    split = _judged_elements(elements, row_schema, [*rest, page, _BAD])
+    judged = split.judged.withColumn(REASONS, F.when(F.col(_BAD), F.array(F.lit("array"))).otherwise(F.col(REASONS)))
+    return split.held(judged).then(lambda rows: rows.drop(page, _BAD), lambda rows: rows.drop(_BAD))
+
+
+def _judged_elements(elements: DataFrame, row_schema: T.StructType, rest: list[str]) -> Split:
     parsed = documents.with_once(elements, _DOC, documents.top_level(documents.parse(F.col(_ELEMENT))))
     doc = F.col(_DOC)
     texts = {f.name: documents.as_text(doc[f.name]) for f in row_schema}
@@ -104,8 +123,8 @@ def split_feed(pages: DataFrame, row_schema: T.StructType, page: str = "body") -
         rules[f.name] = F.map_contains_key(doc, f.name)
         if not isinstance(f.dataType, T.StringType):
             rules[f"{f.name} is a number"] = F.col(f"{_VALUES}.{f.name}").isNotNull() | texts[f.name].isNull()
-    split = split_required(valued, rules)
-    return Split(split.valid.select(*rest, f"{_VALUES}.*"), split.quarantine.select(*rest, _ELEMENT, "reasons"))
+    judged = split_required(valued, rules).judged.drop(_DOC)
+    return Split(judged, lambda rows: rows.select(*rest, f"{_VALUES}.*"), lambda rows: rows.select(*rest, _ELEMENT, REASONS))
 
 
 def feed_rows(pages: DataFrame, row_schema: T.StructType, page: str = "body") -> DataFrame:

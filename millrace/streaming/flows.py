@@ -66,9 +66,9 @@ def run_bookings(
     """
     land_bodies(landed, root, landing.invitee_id_of)
 
-    def to_silver(batch: DataFrame) -> dict[str, DataFrame]:
+    def to_silver(batch: DataFrame) -> runs.Parts:
         split = bookings.booking_silver(batch.drop("doc_id"), channels)
-        return {"silver": split.valid, "quarantine": split.quarantine}
+        return runs.Parts(split, lambda s: {"silver": s.valid, "quarantine": s.quarantine})
 
     def to_gold(batch: DataFrame) -> dict[str, DataFrame]:
         return {"gold": bookings.booking_gold(batch, spend, as_of, **options)}
@@ -91,13 +91,12 @@ def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFra
     """Webhook bodies to bronze, silver, gold, outbox, quarantine and warehouse."""
     land_bodies(landed, root, landing.lead_id_of)
 
-    def to_silver(batch: DataFrame) -> dict[str, DataFrame]:
+    def to_silver(batch: DataFrame) -> runs.Parts:
         split = split_required(batch, {"event.lead_id": batch["doc_id"].isNotNull()})
-        return {"silver": leads.lead_silver(split.valid, owners), "rejected": split.quarantine}
+        return runs.Parts(split, lambda s: {"silver": leads.lead_silver(s.valid, owners), "rejected": s.quarantine})
 
-    def to_gold(batch: DataFrame) -> dict[str, DataFrame]:
-        split = leads.lead_gold(batch)
-        return {"gold": split.valid, "quarantine": split.quarantine}
+    def to_gold(batch: DataFrame) -> runs.Parts:
+        return runs.Parts(leads.lead_gold(batch), lambda s: {"gold": s.valid, "quarantine": s.quarantine})
 
     def to_outbox(batch: DataFrame) -> dict[str, DataFrame]:
         return {"outbox": leads.lead_outbox(batch)}

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
+from contextlib import nullcontext
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import key_index
 from millrace.operators.dedup import latest_per_key
+from millrace.operators.required import Split
 from millrace.schemas import ARRIVAL
 from millrace.sources import tables
 
@@ -89,20 +92,29 @@ def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint
     )
 
 
+class Parts(NamedTuple):
+    """Results that are cuts of the same judged rows."""
+
+    split: Split
+    results: Callable[[Split], Mapping[str, DataFrame]]
+
+
 def each_batch(
-    stream: DataFrame | None, step: Callable[[DataFrame], Mapping[str, DataFrame]], root: str, checkpoint: str
+    stream: DataFrame | None, step: Callable[[DataFrame], Mapping[str, DataFrame] | Parts], root: str, checkpoint: str
 ) -> None:
     """Run ``step`` on every micro-batch and replace that batch in the log of each result.
 
-    Every row of a batch is handled. Each result reads its columns from the log before; nothing
-    is cached, as a batch may be far larger than memory. Returns when all that has arrived is done.
+    Every row of a batch is handled. A step with several results gives ``Parts``: the batch is read, parsed and judged once, and
+    kept on disk, as it may be far larger than memory, while its results are written. Returns when all that has arrived is done.
     """
     if stream is None:
         return
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        for name, rows in step(batch).items():
-            write_batch(rows, f"{root}/{name}", batch_id)
+        made = step(batch)
+        with made.split.on_disk() if isinstance(made, Parts) else nullcontext() as split:
+            for name, rows in (made.results(split) if split else made).items():
+                write_batch(rows, f"{root}/{name}", batch_id)
 
     _run(stream, handle, checkpoint)
 
