@@ -93,9 +93,9 @@ def shingles(text: str | None, size: int = 3) -> frozenset:
     return frozenset(tuple(own[k : k + size]) for k in range(len(own) - size + 1))
 
 
-def classes(docs: list[tuple[int, str | None]], percent: int = 85) -> dict[int, int]:
+def classes(docs: list[tuple[int, str | None]], percent: int = 85, size: int = 3) -> dict[int, int]:
     """Least id of each document's class of linked documents, all pairs compared."""
-    sets = {doc_id: shingles(text) for doc_id, text in docs}
+    sets = {doc_id: shingles(text, size) for doc_id, text in docs}
     parent = {doc_id: doc_id for doc_id in sets}
 
     def find(x):
