@@ -1,7 +1,7 @@
 """A document table made ready for training: five stages, each one operator of ``millrace.llm`` put to use.
 
 1. language: texts without a recognisable language go.
-2. near_copies: of each group of near copies one document stays.
+2. near_copies: of each group of near copies (on five words, similarity 0.8 and more) one document stays.
 3. benchmark: documents that hold a passage of the benchmark go.
 4. secrets: secrets in the texts are replaced by a mark; all documents stay.
 5. packing: the documents become pieces of token sequences.
@@ -23,7 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.one_of_each(docs)
+    return near_copies.one_of_each(docs, size=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
