@@ -146,6 +146,10 @@ def booking_mart(marketing: DataFrame) -> DataFrame:
 
 
 def refresh_mart(spark: SparkSession, path: str, table: str = "marketing") -> int:
-    """Rebuild the mart from the catalog table; returns the rows saved."""
-    tables.write_mart(booking_mart(tables.marketing_table(spark, table)), path)
-    return tables.load_mart(spark, path).count()
+    """Bring the mart up to the catalog table, writing only days that changed; returns the rows it has now."""
+    return refresh_by_day(spark, path, table).rows
+
+
+def refresh_by_day(spark: SparkSession, path: str, table: str = "marketing") -> tables.Refresh:
+    """The same; returns also which booking days were written and which are gone."""
+    return tables.refresh_days(booking_mart(tables.marketing_table(spark, table)), path, "booking_date")

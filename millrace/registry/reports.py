@@ -46,6 +46,28 @@ def mart_rows(spark, d):
     return saved.groupBy("booking_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _refreshes(spark, d):
+    """Refreshes of one mart: without sign-ups of even days, with them, again, and without the first day."""
+    rows, path = marketing(spark, d), scratch(spark, "mart")
+    early = F.day("start_time") % 2 == 0
+    first = F.to_date("start_time") == F.to_date(F.lit(rows.agg(F.min("start_time")).first()[0]))
+    for version in (rows.where(~(early & (F.col("status") == "signup"))), rows, rows, rows.where(~first)):
+        version.createOrReplaceTempView("marketing")
+        yield path, bookings.refresh_by_day(spark, path)
+
+
+def mart_refresh(spark, d):
+    """What four refreshes wrote: days, days that are gone, rows of the mart after each."""
+    done = [(n, len(r.written), len(r.gone), r.rows) for n, (_, r) in enumerate(_refreshes(spark, d), 1)]
+    return spark.createDataFrame(done, "refresh int, written bigint, gone bigint, rows bigint")
+
+
+def mart_refreshed(spark, d):
+    """The mart after the four refreshes."""
+    path = [path for path, _ in _refreshes(spark, d)][-1]
+    return tables.load_mart(spark, path)
+
+
 def orders_month(spark, d):
     """The month filter where most rows fall outside."""
     orders = table(spark, d, "orders").select(
@@ -196,6 +218,19 @@ QUERIES = {
     "mart_rows": (
         mart_rows, "SELECT CAST(ts AS DATE) AS booking_date, count(*) AS rows FROM events GROUP BY ALL"
     ),
+    "mart_refresh": (
+        mart_refresh,
+        """WITH days AS (
+          SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE event_type = 'signup' AND day(ts) % 2 = 0) AS late
+          FROM events GROUP BY ALL)
+        SELECT 1 AS refresh, count(*) FILTER (WHERE n > late) AS written, CAST(0 AS BIGINT) AS gone, CAST(sum(n - late) AS BIGINT) AS rows FROM days
+        UNION ALL SELECT 2, count(*) FILTER (WHERE late > 0), 0, CAST(sum(n) AS BIGINT) FROM days
+        UNION ALL SELECT 3, 0, 0, CAST(sum(n) AS BIGINT) FROM days
+        UNION ALL SELECT 4, 0, 1, CAST(sum(n) AS BIGINT) - CAST(arg_min(n, day) AS BIGINT) FROM days""",
+    ),
+    "mart_refreshed": (
+        mart_refreshed, f"WITH {MART_SQL} SELECT * FROM mart WHERE booking_date > (SELECT min(booking_date) FROM mart)"
+    ),
     "month_slice": (
         orders_month,
         """SELECT o_orderkey AS invitee_id, CAST(o_orderdate AS DATE) AS booking_date, o_totalprice AS spend
