@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from millrace.functions import documents
 from millrace.operators.dedup import latest_per_key
 from millrace.plans import leads as p
-from millrace.registry.views import lead_docs, owners, table
+from millrace.registry.views import lead_docs, owners, scratch, table
+from millrace.streaming import outbox, runs
 
 _DOC = "__doc"
 
@@ -45,6 +46,22 @@ def lead_outbox(spark, d):
     return p.lead_outbox(_gold(spark, d).valid)
 
 
+def outbox_delivery(spark, d):
+    """Messages of the leads in three batches, each with all of the one before; the second sender stops ahead of its acknowledgement."""
+    root = scratch(spark, "outbox")
+    messages = p.lead_outbox(_gold(spark, d).valid)
+    part = F.pmod(F.col("lead_id").cast("bigint"), F.lit(3))
+    for n in range(3):
+        runs.write_batch(messages.where((part <= n) & (part >= n - 1)), f"{root}/pending", n)
+        claimed = outbox.claim(spark, root, messages.schema, "lead_id")
+        if claimed and n != 1:
+            outbox.acknowledge(spark, root, claimed)
+    # the third call has taken up the second claim again; what came meanwhile is claimed now
+    while claimed := outbox.claim(spark, root, messages.schema, "lead_id"):
+        outbox.acknowledge(spark, root, claimed)
+    return outbox.delivered(spark, root, messages.schema).select("lead_id", "text", outbox.RUN)
+
+
 def load_leads(spark, d):
     """Gold leads into a table that holds the toxic ones."""
     target = table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("lead_id"))
@@ -103,6 +120,11 @@ QUERIES = {
         f"""WITH {GOLD_SQL}, texts AS (SELECT lead_id, {_MESSAGE} AS text FROM gold)
         SELECT lead_id, text, '{{"text":"' || text || '"}}' AS message FROM texts""",
     ),
+    "outbox_delivery": (
+        outbox_delivery,
+        f"""WITH {GOLD_SQL}
+        SELECT lead_id, {_MESSAGE} AS text, CAST(CAST(lead_id AS BIGINT) % 3 + 1 AS INTEGER) AS run FROM gold""",
+    ),
     "load_leads": (
         load_leads,
         f"""WITH {GOLD_SQL}

@@ -147,6 +147,14 @@ def meeting_load_distinct(spark, d):
     return r.meeting_load_distinct(shared)
 
 
+def meeting_load_cube(spark, d):
+    """The same from the bitmaps of each employee and week."""
+    shared = _month(spark, d).withColumn(
+        "booking_id", F.concat("employee_name", F.lit("-"), F.col("booking_date").cast("string"))
+    )
+    return r.meeting_load_of_cube(r.meeting_cube(shared))
+
+
 def meeting_kpis(spark, d):
     return r.meeting_kpis(r.meeting_load(_month(spark, d)))
 
@@ -182,6 +190,11 @@ def dashboard(spark, d):
     )
 
 
+DISTINCT_SQL = f"""WITH {MONTH_SQL}
+SELECT employee_name, count(DISTINCT booking_date) AS meeting_count, count(DISTINCT week) AS week_count,
+  count(DISTINCT booking_date) / CAST(count(DISTINCT week) AS DOUBLE) AS avg_meeting_per_week
+FROM month GROUP BY employee_name"""
+
 DAILY_SQL = f"""WITH {MONTH_SQL}, daily AS (
   SELECT booking_date, channel, count(invitee_id) AS bookings FROM month
   WHERE channel IS NOT NULL GROUP BY ALL)"""
@@ -292,14 +305,8 @@ QUERIES = {
         SELECT *, booking_count / CAST((SELECT sum(booking_count) FROM days) AS DOUBLE) AS share FROM days""",
     ),
     "meeting_load": (meeting_load, f"{LOAD_SQL} SELECT * FROM load"),
-    "meeting_load_distinct": (
-        meeting_load_distinct,
-        f"""WITH {MONTH_SQL}
-        SELECT employee_name, count(DISTINCT booking_date) AS meeting_count,
-          count(DISTINCT week) AS week_count,
-          count(DISTINCT booking_date) / CAST(count(DISTINCT week) AS DOUBLE) AS avg_meeting_per_week
-        FROM month GROUP BY employee_name""",
-    ),
+    "meeting_load_distinct": (meeting_load_distinct, DISTINCT_SQL),
+    "meeting_load_cube": (meeting_load_cube, DISTINCT_SQL),
     "meeting_kpis": (
         meeting_kpis,
         f"""{LOAD_SQL} SELECT CAST(sum(meeting_count) AS BIGINT) AS total_meetings,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All of these may be set on a running session; cluster sizing is left to spark-submit.
 SETTINGS = {
@@ -72,6 +72,14 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared folder, their lineage cut."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(rows.sparkSession))
+    return rows.checkpoint()
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="millrace-")
