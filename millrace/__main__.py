@@ -35,7 +35,9 @@ def parser() -> argparse.ArgumentParser:
     job("video-silver", "bronze", "silver")
     job("video-gold", "silver", "gold")
     archived = "folder for the files that have been read"
-    job("bookings", "landed", "root", "spend").add_argument("--archive", help=archived)
+    booked = job("bookings", "landed", "root", "spend")
+    booked.add_argument("--archive", help=archived)
+    booked.add_argument("--broken-spend", help="folder for spend files that cannot be read; without it they stop the job")
     job("leads", "landed", "root", "owners", day=False).add_argument("--archive", help=archived)
     job("compact", "root", "out", day=False).add_argument("--previous", help="result of the last run, to go on from")
     marketing = job("marketing", "root", day=False)
@@ -58,7 +60,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> object:
         return video.write_gold(spark, a.silver, a.gold, a.day)
     if a.job == "bookings":
         before = date.fromisoformat(a.day) - timedelta(days=1)
-        spend = landing.read_spend(spark, a.spend, str(before))
+        spend = landing.read_spend(spark, a.spend, str(before), a.broken_spend)
         inbox = landing.stream_bodies(spark, a.landed, archive=a.archive)
         return flows.run_bookings(spark, inbox, a.root, spend, a.day)
     if a.job == "leads":

@@ -83,6 +83,18 @@ def spend_files(spark, d):
     return landing.spend_rows(files).select("pos", "date", "channel", "spend")
 
 
+def spend_quarantine(spark, d):
+    """Spend files of which some are cut off, some hold a word for a number, some a bare number among the objects."""
+    rows = spend(spark, d).withColumn("file_path", F.col("pos").cast("string"))
+    whole = F.to_json(F.array(F.struct("date", "channel", "spend")))
+    wrong = F.to_json(F.array(F.struct("date", "channel", F.lit("much").alias("spend"))))
+    kind = F.col("pos") % 4
+    body = F.when(kind == 0, F.concat(F.lit("["), whole)).when(kind == 1, wrong).when(kind == 2, F.lit("[7]")).otherwise(whole)
+    split = landing.split_spend(rows.select("file_path", body.alias("body")))
+    good = split.valid.select("file_path", F.lit("").alias("reasons"), "spend")
+    return good.unionByName(split.quarantine.select("file_path", F.array_join("reasons", " ").alias("reasons"), F.lit(None).cast("double").alias("spend")))
+
+
 def channel_lookup(spark, d):
     return table(spark, d, "events").select(
         "event_id", documents.lookup(F.col("event_type"), CHANNEL_OF).alias("channel")
@@ -154,6 +166,12 @@ QUERIES = {
         f"""WITH {SPEND_SQL} SELECT 0 AS pos, date, channel, spend FROM spend_rows
         UNION ALL SELECT 1, date, 'other', CAST(pos AS DOUBLE) FROM spend_rows""",
     ),
+    "spend_quarantine": (
+        spend_quarantine,
+        f"""WITH {SPEND_SQL} SELECT CAST(pos AS VARCHAR) AS file_path,
+          CASE pos % 4 WHEN 0 THEN 'array objects numbers' WHEN 1 THEN 'numbers' WHEN 2 THEN 'objects numbers' ELSE '' END AS reasons,
+          CASE WHEN pos % 4 = 3 THEN spend END AS spend FROM spend_rows""",
+    ),
     "channel_lookup": (channel_lookup, f"SELECT event_id, {CHANNEL_SQL} AS channel FROM events"),
     "insert_if_absent": (
         insert_if_absent_orders,

@@ -12,6 +12,7 @@ from millrace.registry.views import (
     AS_OF, BOOKINGS_SQL, CHANNEL_OF, SPEND_SQL, booking_body, lead_body, owners, scratch, spend, stream_table, table,
 )
 from millrace.schemas import BOOKING_GOLD, BRONZE, LEAD_GOLD
+from millrace.sources import landing
 from millrace.streaming import flows, keyed, runs
 
 _FILE = ["file_path", "file_time"]
@@ -49,6 +50,16 @@ def stream_enrich(spark, d):
     return runs.latest(log, "invitee_id").select(*BOOKING_GOLD)
 
 
+def stream_files(spark, d):
+    """Booking documents as lines of landed files, streamed file by file, archived, and current by keyed state."""
+    root = scratch(spark, "files")
+    bodies = table(spark, d, "events").select(booking_body().alias("body"))
+    bodies.repartition(4).write.text(f"{root}/inbox")
+    landed = landing.stream_bodies(spark, f"{root}/inbox", whole_files=False, files_per_batch=2, archive=f"{root}/archive")
+    flows.run_bookings(spark, landed, f"{root}/flow", spend(spark, d), AS_OF, channels=CHANNEL_OF)
+    return flows.follow(spark, f"{root}/flow", "bookings").select(*BOOKING_GOLD)
+
+
 def stream_bookings_warehouse(spark, d):
     """Every booking twice, first with its own documents and then again, to the table that takes each once."""
     root = scratch(spark, "bookings")
@@ -132,6 +143,12 @@ QUERIES = {
         SELECT b.* EXCLUDE (ts), s.spend
         FROM bookings b LEFT JOIN daily_spend s ON b.channel = s.channel AND s.date = '2024-01-14'""",
     ),
+    "stream_files": (
+        stream_files,
+        f"""WITH {BOOKINGS_SQL}, {SPEND_SQL}
+        SELECT b.* EXCLUDE (ts), s.spend
+        FROM bookings b LEFT JOIN daily_spend s ON b.channel = s.channel AND s.date = '2024-01-14'""",
+    ),
     "stream_bookings_warehouse": (
         stream_bookings_warehouse,
         f"""WITH {BOOKINGS_SQL}, {SPEND_SQL}

@@ -62,6 +62,15 @@ def pages_split(spark, d):
     )
 
 
+def pages_until_short(spark, d):
+    """Pages of 200 order numbers each per media; a fetch stops at the first with fewer than 36 events."""
+    rows = video_events(spark, d).withColumn("page", F.floor(F.col("event_key").cast("bigint") / 200))
+    whole = F.to_json(F.struct(*VIDEO_EVENTS.names), WITH_NULLS)
+    listed = F.concat(F.lit("["), F.array_join(F.collect_list(whole), ","), F.lit("]"))
+    pages = rows.groupBy(F.col("media_id").alias("media"), "page").agg(listed.alias("body"))
+    return landing.feed_rows(landing.until_short_page(pages, "media", "page", 36), VIDEO_EVENTS).drop("media", "page")
+
+
 def event_feed(spark, d):
     """Pages to clean rows since the day before, for two media."""
     rows = v.bronze_events(_event_pages(spark, d), DAY, ["1-URGENT", "5-LOW"])
@@ -231,6 +240,13 @@ QUERIES = {
         UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL FROM orders
         UNION ALL SELECT NULL, md5(html) FROM pages""",
     ),
+    "pages_until_short": (
+        pages_until_short,
+        f"""WITH {VIDEO_SQL}, sizes AS (
+          SELECT media_id, CAST(event_key AS BIGINT) // 200 AS page, count(*) AS n FROM video_events GROUP BY ALL),
+        ends AS (SELECT media_id, coalesce(min(page) FILTER (WHERE n < 36), max(page)) AS last FROM sizes GROUP BY media_id)
+        SELECT {_EVENT_COLUMNS} FROM video_events JOIN ends USING (media_id) WHERE CAST(event_key AS BIGINT) // 200 <= last""",
+    ),
     "event_feed": (
         event_feed,
         f"""WITH {VIDEO_SQL} SELECT {_EVENT_COLUMNS} FROM video_events

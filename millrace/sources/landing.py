@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import documents, text
+from millrace.operators.joins import lookup_join
 from millrace.operators.required import REASONS, Split, split_required
 from millrace.schemas import SPEND
 from millrace.sources import tables
@@ -75,6 +76,18 @@ def split_pages(pages: DataFrame, page: str = "body") -> Split:
     return split_required(pages, {"array": array})
 
 
+def until_short_page(pages: DataFrame, by: str, number: str, page_rows: int, page: str = "body") -> DataFrame:
+    """Pages of each ``by`` up to the first that has fewer than ``page_rows`` elements: a fetch stops there, what lies behind is stale.
+
+    A page that is no array counts as short, and pages of one number as one fetch: all of them stay. The first short page of each ``by``
+    is an aggregate of the sizes; page texts are not shuffled for it if there are few of them.
+    """
+    rows = F.coalesce(F.size(F.from_json(F.col(page), "array<string>")), F.lit(-1))
+    short = pages.where(rows < page_rows).groupBy(by).agg(F.min(number).alias(_PLACE))
+    ended = lookup_join(pages, short, [by])
+    return ended.where(F.col(_PLACE).isNull() | (F.col(number) <= F.col(_PLACE))).select(*pages.columns)
+
+
 def _whole_number(value: Column) -> Column:
     """Number text to bigint where it has no fraction: ``12`` and ``12.0``, also as text."""
     exact = value.try_cast("decimal(38,9)")
@@ -156,14 +169,39 @@ def spend_rows(files: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def read_spend(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
-    """Spend rows of the files under ``root``; with ``day`` only that day's file. No file or folder: no rows."""
+def split_spend(files: DataFrame, body: str = "body") -> Split:
+    """Spend files that are JSON arrays of objects with sound numbers, as rows, and the others whole with the reasons."""
+    elements = F.from_json(F.col(body), "array<string>")
+    objects = F.from_json(F.col(body), T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in SPEND])))
+    held = documents.with_once(files, _VALUES, F.struct(elements.alias("elements"), objects.alias("objects")))
+    rows = F.col(f"{_VALUES}.objects")
+    sound = F.forall(rows, lambda r: r.isNotNull() & (r["spend"].isNull() | r["spend"].try_cast("double").isNotNull()))
+    rules = {"array": F.col(f"{_VALUES}.elements").isNotNull(), "objects": F.size(rows) == F.size(f"{_VALUES}.elements"), "numbers": sound}
+    kept = [c for c in ("file_path",) if c in files.columns]
+
+    def valid(whole: DataFrame) -> DataFrame:
+        each = whole.select(*kept, F.posexplode(f"{_VALUES}.objects").alias("pos", "r"))
+        return each.select(*kept, "pos", *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in SPEND])
+
+    return split_required(held, rules).then(valid, lambda broken: broken.drop(_VALUES))
+
+
+def read_spend(spark: SparkSession, root: str, day: str | None = None, broken: str | None = None) -> DataFrame:
+    """Spend rows of the files under ``root``; with ``day`` only that day's file. No file or folder: no rows.
+
+    A file that cannot be read stops the job; with ``broken``, a folder, it is set aside there with the reasons instead.
+    """
     reader = spark.read
     if day is not None:
         # Fixed value: name of a day's spend file.
         reader = reader.option("pathGlobFilter", f"spend_data_{day}.json")
     files = tables.if_present(lambda: _with_file(reader.text(root, wholetext=True)))
-    return spend_rows(_no_files(spark) if files is None else files)
+    files = _no_files(spark) if files is None else files
+    if broken is None:
+        return spend_rows(files)
+    split = split_spend(files)
+    tables.write_table(split.quarantine, broken)
+    return split.valid
 
 
 def spend_of_named_day(spend: DataFrame) -> DataFrame:

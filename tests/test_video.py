@@ -10,6 +10,7 @@ import pytest
 from millrace.plans import video as v
 from millrace.schemas import MEDIA_STATS, VIDEO_EVENTS, VIDEO_GOLD, VISITORS
 from millrace.sources import landing, tables
+from samples import put
 
 DAY = "2026-03-11"
 
@@ -171,3 +172,31 @@ def test_other_failures_than_a_missing_path_are_raised(spark, folder):
     with pytest.raises(Exception):
         tables.optional_table(spark, path, VISITORS).collect()
     assert tables.optional_table(spark, folder("absent"), VISITORS).isEmpty()
+
+
+def test_pages_behind_a_short_one_are_stale(frame):
+    full, short, empty, broken = "[{},{}]", "[{}]", "[]", "{cut"
+    rows = [("a", 1, full), ("a", 2, full), ("a", 3, short), ("a", 4, full), ("b", 1, empty), ("b", 2, full), ("c", 1, full), ("c", 2, broken), ("c", 3, full), ("d", 7, full), (None, 1, full)]
+    pages = frame(rows, "media string, page int, body string")
+    kept = sorted((r.media or "", r.page) for r in landing.until_short_page(pages, "media", "page", 2).collect())
+    assert kept == [("", 1), ("a", 1), ("a", 2), ("a", 3), ("b", 1), ("c", 1), ("c", 2), ("d", 7)]
+
+
+def test_pages_are_parsed_once(spark, frame, folder):
+    """Rows, bad rows and bad pages of a landed day from one pass, each where it belongs."""
+    whole = {n: "1" if n == "percent_viewed" else n for n in VIDEO_EVENTS.names}
+    good = json.dumps([whole, {"event_key": "half"}, None])
+    split = landing.split_landed(frame([(good,), ("[]",), ("{cut",), (None,)], "body string"), VIDEO_EVENTS)
+    assert split.valid.columns == VIDEO_EVENTS.names and split.valid.count() == 1
+    bad = [(r.body, r.element, r.reasons[0]) for r in split.quarantine.collect()]
+    assert sorted(bad, key=str) == sorted([("{cut", None, "array"), (None, None, "array"), (None, '{"event_key":"half"}', "received_at"), (None, None, "object")], key=str)
+
+
+def test_broken_spend_files_are_set_aside(spark, folder):
+    put(folder("spend"), "spend_data_2024-01-14.json", json.dumps([{"date": "2024-01-14", "channel": "c", "spend": 1.5}, {"date": "d", "channel": None, "spend": None}]))
+    put(folder("spend"), "spend_data_2024-01-13.json", "[{")
+    put(folder("spend"), "spend_data_2024-01-12.json", json.dumps([{"date": "x", "channel": "c", "spend": "much"}]))
+    rows = landing.read_spend(spark, folder("spend"), broken=folder("broken")).collect()
+    assert sorted((r.pos, r.channel, r.spend) for r in rows) == [(0, "c", 1.5), (1, None, None)]
+    bad = spark.read.parquet(folder("broken")).collect()
+    assert sorted((r.file_path[-7:-5], r.reasons) for r in bad) == [("12", ["numbers"]), ("13", ["array", "objects", "numbers"])]
