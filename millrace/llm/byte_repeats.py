@@ -7,7 +7,8 @@ agree in all the full blocks of a window form a cluster, and in a cluster the by
 window by window. Equal windows have their anchor at the same place and so the same blocks: none is missed.
 
 Null text counts as empty. Texts shorter than a window keep all. Rows that share an id count as one document given several
-times: equal places in them are one occurrence, so a repeated row alone removes nothing. A null id is kept.
+times: equal places in them are one occurrence, so a repeated row alone removes nothing. Of rows without an id each text is a
+document of its own. Cuts of a very crowded anchor that agree in their blocks are compared by window hashes (see ``compare_crowded``).
 Hashes of 64 bits stand for anchors and contexts together (128 bits), and for blocks inside a shard.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from millrace.llm import hashing, recurring
 from millrace.llm.components import groups
 from millrace.llm.suffixes import suffix_array
-from millrace.llm.texts import map_parts
+from millrace.llm.texts import join_counted, map_parts, written
 
 WINDOW, ANCHOR, BLOCK = 400, 32, 16
 # Contexts of one suffix array; each holds at most about twice a window of bytes.
@@ -71,20 +72,25 @@ class Bytes:
         return inside & ((context >> np.uint64(64 - recurring.CHECK_BITS)).astype(np.int64) == check)
 
 
-ASKED = "key bigint, slot int, doc bigint, start bigint, origin bigint, context binary"
+def with_entries(texts: DataFrame, segments: DataFrame, crowded: bool) -> DataFrame:
+    """Texts that have contexts to be compared, of anchors in one slot or in several (``crowded``)."""
+    return texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 1 if crowded else e["slots"] == 1)), "doc")
 
 
-def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int) -> DataFrame:
+ASKED = "key bigint, slot int, inner bigint, doc bigint, start bigint, origin bigint, context binary"
+
+
+def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int, crowded: bool) -> DataFrame:
     """Contexts that have to be compared, with the place of their anchor, out of rows (doc, text, entries).
 
-    For an anchor in several slots a context is cut at its blocks, so that equal windows meet in one slot: that of the hash of
-    their full blocks.
+    For an anchor in several slots (``crowded``) a context is cut at its blocks, so that equal windows meet in one slot: that of
+    the hash of their full blocks, ``inner``.
     """
     full = (window - block) // block
 
     def begin():
         def step(ids, texts, entries):
-            made: list[list] = [[], [], [], [], [], []]
+            made: list[list] = [[], [], [], [], [], [], []]
 
             def add(*row) -> None:
                 for column, value in zip(made, row, strict=True):
@@ -92,7 +98,7 @@ def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int) -> D
 
             for row, (doc, text) in enumerate(zip(ids.to_pylist(), texts.to_pylist(), strict=True)):
                 start, windows, check, key, slots, _ = recurring.entry_arrays(entries[row].values)
-                asked = slots > 0
+                asked = slots > 1 if crowded else slots == 1
                 if not asked.any():
                     continue
                 raw = (text or "").encode()
@@ -103,13 +109,13 @@ def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int) -> D
                 for s, n, k, many in zip(*(x[asked].tolist() for x in (start, windows, key, slots)), strict=True):
                     origin = s + int(np.argmax(phrases[s : s + window - anchor + 1] == k))
                     if many == 1:
-                        add(k, 0, doc, s, origin, raw[s : s + n + window - 1])
+                        add(k, 0, 0, doc, s, origin, raw[s : s + n + window - 1])
                         continue
                     for q in range(s + (origin - s) % block, s + n + block - 1, block):
                         low, high = max(s, q - block + 1), min(s + n - 1, q)
                         if low <= high:
-                            inner = int(hashing.stretch_hash(own.sums, np.array([q]), np.array([q + full * block]))[0])
-                            add(k, (inner ^ (q - origin)) % many, doc, low, origin, raw[low : high + window])
+                            inner = int(hashing.stretch_hash(own.sums, np.array([q]), np.array([q + full * block])).view(np.int64)[0]) ^ (q - origin)
+                            add(k, inner % many, inner, doc, low, origin, raw[low : high + window])
             return made
 
         return step
@@ -200,12 +206,52 @@ def compare_contexts(asked: DataFrame, window: int, block: int) -> DataFrame:
     return asked.repartition("key", "slot").sortWithinPartitions("key", "slot").mapInArrow(run, "doc bigint, start bigint, windows bigint")
 
 
+def compare_crowded(cut: DataFrame, window: int, block: int) -> DataFrame:
+    """doc, start, windows of the repeated windows, out of ASKED rows cut at blocks.
+
+    Cuts with the same full blocks are counted first. One that stands alone has no equal. Many together, as at the edge of a passage that
+    stands in many surroundings, would fill a task: of those each window is told by a hash of 128 bits, and equal ones are summed up before they
+    are dealt out. The others are compared slot by slot.
+    """
+    sizes = cut.groupBy("key", "inner").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = join_counted(cut, sizes, ["key", "inner"])
+    few = met.where(F.col("n") <= recurring.SLOT_ROWS).select(*cut.columns)
+    many = met.where(F.col("n") > recurring.SLOT_ROWS).select("key", "doc", "start", "context")
+
+    def begin():
+        def step(keys, docs, starts, contexts):
+            made: list[list] = [[], [], [], [], []]
+            for key, doc, start, context in zip(*(c.to_pylist() for c in (keys, docs, starts, contexts)), strict=True):
+                data = np.frombuffer(context, dtype=np.uint8)
+                at = np.arange(len(data) - window + 1)
+                first, second = (hashing.stretch_hash(hashing.byte_sums(data, kind), at, at + window).view(np.int64) for kind in (0, 1))
+                made[0] += [key] * len(at)
+                made[1] += [doc] * len(at)
+                made[2] += (at + start).tolist()
+                made[3] += first.tolist()
+                made[4] += second.tolist()
+            return made
+
+        return step
+
+    windows = map_parts(many, begin, "key bigint, doc bigint, start bigint, one bigint, two bigint", text=3)
+    # rows of one id are one document: the same place twice is one occurrence
+    places = F.struct("doc", "start")
+    again = windows.groupBy("key", "one", "two").agg(F.min(places).alias("low"), F.max(places).alias("high")).where("low < high")
+    found = join_counted(windows, again.select("key", "one", "two"), ["key", "one", "two"]).select("doc", "start", F.lit(1).cast("bigint").alias("windows"))
+    return compare_contexts(few, window, block).unionByName(found)
+
+
 def repeated_bytes(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept bytes and removed spans of every document."""
-    segments = recurring.recurring_segments(docs, lambda texts: find_segments(texts, window, anchor), lambda _first, copies: copies > 1, "bytes")
-    texts = recurring.keyed(docs)
-    asked = asked_contexts(texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 0)), "doc"), window, anchor, block)
-    marked = compare_contexts(asked, window, block).groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("marked"))
+    texts, least = recurring.keyed(docs)
+    segments = recurring.recurring_segments(texts, lambda texts: find_segments(texts, window, anchor), lambda _first, copies: copies > 1, "bytes")
+    found = compare_contexts(asked_contexts(with_entries(texts, segments, False), window, anchor, block, False), window, block)
+    crowded = with_entries(texts, segments, True)
+    if not segments.where(F.exists("entries", lambda e: e["slots"] > 1)).isEmpty():
+        cut = written(asked_contexts(crowded, window, anchor, block, True), "crowded")
+        found = found.unionByName(compare_crowded(cut, window, block))
+    marked = found.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("marked"))
     joined = texts.join(segments, "doc", "left").join(marked, "doc", "left")
 
     def begin():
@@ -232,7 +278,7 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                     spans = edges.reshape(-1, 2)
                     kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
                 values = (
-                    None if doc == recurring.NO_ID else doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept
+                    None if doc < least else doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept
                 )
                 for column, value in zip(made, values, strict=True):
                     column.append(value)

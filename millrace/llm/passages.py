@@ -7,8 +7,10 @@ all but its first occurrence are marked. Copies of a whole context are marked wi
 more than ``recurring.SLOT_ROWS`` segments, are grouped by their words instead. Then each document drops the
 words that a marked window covers.
 
-Null text has no words. Documents of fewer words than a window keep all. Order is by id, then by place; a null id
-stands first. Rows that share an id count as one document given several times: equal places in them are one
+Copies of a whole context are told by hashes of 64 bits for the anchor and for the context, and are not streamed again.
+
+Null text has no words. Documents of fewer words than a window keep all. Order is by id, then by place; rows without an
+id stand first, in the order of a hash of their text, each text a document of its own. Rows that share an id count as one document given several times: equal places in them are one
 occurrence, so a repeated row takes nothing from the other.
 """
 
@@ -162,8 +164,8 @@ def compare_windows(asked: DataFrame) -> DataFrame:
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept text of every document."""
-    segments = recurring.recurring_segments(docs, lambda texts: find_segments(texts, window, anchor), lambda first, copies: ~first, "passages")
-    texts = recurring.keyed(docs)
+    texts, least = recurring.keyed(docs)
+    segments = recurring.recurring_segments(texts, lambda texts: find_segments(texts, window, anchor), lambda first, copies: ~first, "passages")
     asked = texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 0)), "doc")
     compared = compare_contexts(asked_contexts(asked, window, False), window).unionByName(compare_windows(asked_contexts(asked, window, True)))
     marked = compared.groupBy("doc").agg(F.collect_set("start").alias("marked"))
@@ -197,7 +199,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
                 joined_words = b" ".join(kept)
                 for column, value in zip(
                     made,
-                    (None if doc == recurring.NO_ID else doc, len(words), len(words) - len(kept), hashlib.sha256(joined_words).hexdigest(), joined_words.decode()),
+                    (None if doc < least else doc, len(words), len(words) - len(kept), hashlib.sha256(joined_words).hexdigest(), joined_words.decode()),
                     strict=True,
                 ):
                     column.append(value)

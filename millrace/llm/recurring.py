@@ -26,9 +26,6 @@ from millrace.llm.texts import join_counted, map_parts, written
 
 # Segments of one anchor in a slot of its shard.
 SLOT_ROWS = 20_000
-# A missing id stands before all others, in tables that are joined by id.
-NO_ID = -(1 << 63)
-
 SEGMENTS = "doc bigint, key bigint, context bigint, at bigint"
 
 CHECK_BITS, COUNT_BITS = 16, 12
@@ -44,13 +41,26 @@ def unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at >> (CHECK_BITS + COUNT_BITS), (at >> CHECK_BITS) & ((1 << COUNT_BITS) - 1), at & ((1 << CHECK_BITS) - 1)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc, text; the id under which tables of this module are joined."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
+def keyed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc, text; and the least id there is. ``doc`` is what tables of this module are joined by.
+
+    A row without an id gets a number below all ids, made from its text: so each such text is a document of its own, and any
+    number of them is dealt out like others.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+    ids = rows.agg(F.min("doc"), F.count(F.when(F.col("doc").isNull(), 1))).first()
+    least = 0 if ids[0] is None else ids[0]
+    if not ids[1]:
+        return rows, least
+    room = least + (1 << 63)
+    if room < 1 << 32:
+        raise ValueError("rows without an id need room below the least id")
+    number = F.lit(least - 1) - F.pmod(F.xxhash64("text"), F.lit((1 << (room.bit_length() - 1)) - 1))
+    return rows.withColumn("doc", F.coalesce("doc", number)), least
 
 
-def segments(docs: DataFrame, find: Callable) -> DataFrame:
-    """SEGMENTS of all documents; ``find(texts)`` gives document number, key, context and at as arrays."""
+def segments(texts: DataFrame, find: Callable) -> DataFrame:
+    """SEGMENTS of all texts (see ``keyed``); ``find(texts)`` gives document number, key, context and at as arrays."""
 
     def begin():
         def step(ids, texts):
@@ -59,16 +69,16 @@ def segments(docs: DataFrame, find: Callable) -> DataFrame:
 
         return step
 
-    return map_parts(keyed(docs), begin, SEGMENTS)
+    return map_parts(texts, begin, SEGMENTS)
 
 
-def recurring_segments(docs: DataFrame, find: Callable, covered: Callable, name: str) -> DataFrame:
+def recurring_segments(texts: DataFrame, find: Callable, covered: Callable, name: str) -> DataFrame:
     """doc and entries (at, key, slots, covered) of every document with a recurring segment.
 
     ``covered(first, copies)`` says whether a segment is wholly repeated, given whether it is the first of its context and
     how often the context stands. ``slots`` is over 0 where the context has to be compared with others of its anchor.
     """
-    found = segments(docs, find)
+    found = segments(texts, find)
     anchors = (
         found.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
