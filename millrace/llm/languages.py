@@ -32,7 +32,9 @@ VOCABULARY = "piece_bpe_32k.model"
 TRAINING_DOCS = 1_000
 ROUNDS = 2
 SMOOTHING = 0.05
-WORDS_KEPT = 600_000
+# What a task keeps of words it has met, and the text it splits at once: both bound its memory.
+WORDS_KEPT = 200_000
+PART_BYTES = 1024 * 1024
 # After fitting, pieces of several letters that are expected less often than this in every language have no probability in any: words are
 # cut into shorter pieces there.
 LEAST_EXPECTED = 0.5
@@ -254,7 +256,7 @@ def language_scores(rows: DataFrame, languages: list[str], table: dict, passed:
 
         return step
 
-    return map_parts(rows, begin, StructType(passed.fields).add("lang_pred", "string").add("score", "double"))
+    return map_parts(rows, begin, StructType(passed.fields).add("lang_pred", "string").add("score", "double"), part_bytes=PART_BYTES)
 
 
 def identify(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> DataFrame:

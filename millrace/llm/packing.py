@@ -36,7 +36,8 @@ from millrace.llm.texts import checkpointed, documents, map_parts
 CAPACITY = 4096
 CLOSING = 1
 TOKENIZER = "word_bpe_49k.json"
-WORDS_KEPT = 250_000
+# Of each half of the cache; it stays with the worker.
+WORDS_KEPT = 100_000
 # Nodes of the search beyond the best-fit packing (at each it looks for one more length of a filling); a bound of effort,
 # not of data: every piece is in the packing that is found.
 SEARCH_NODES = 400_000

@@ -27,8 +27,8 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a part holds about PART_BYTES of text."""
+def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1, part_bytes: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a part holds about ``part_bytes`` of text."""
     for batch in batches:
         if text is None or not batch.num_rows:
             if batch.num_rows:
@@ -37,7 +37,7 @@ def parts(batches: Iterable[pa.RecordBatch], text: int | None = 1) -> Iterator[p
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
-            if i > start and held + size > PART_BYTES:
+            if i > start and held + size > part_bytes:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
@@ -57,7 +57,7 @@ def share_code(context: SparkContext) -> None:
     context._millrace_shared = True
 
 
-def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, text: int | None = 1) -> DataFrame:
+def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, text: int | None = 1, part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows of ``schema``, made in each task by ``function()(*columns) -> columns`` from parts of the rows.
 
     Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
@@ -67,7 +67,7 @@ def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, tex
 
     def run(batches):
         step = function()
-        for part in parts(batches, text):
+        for part in parts(batches, text, part_bytes):
             made = step(*part.columns)
             if made is not None:
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(made, made_as, strict=True)]
