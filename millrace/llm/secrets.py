@@ -5,7 +5,10 @@ credential word and a sign of assignment, in an authorisation header, in a link
 pieces that make it cheapest to guess: words of a public vocabulary by rank, dates, repeats, keyboard walks and
 brute force. A value whose cheapest segmentation still takes ``10 ** least_cost`` guesses is a span of kind ``guess``.
 
-Null text counts as empty and has no spans. Offsets are code points, end exclusive. Repeated rows give repeated results.
+The pieces: words have at most ``LONGEST_WORD`` letters, the unit of a repeat at most ``LONGEST_UNIT`` characters; a walk of more than 12 keys
+begins where it can begin first, and the turns of its first 12 keys count. What is longer is made of several pieces.
+
+Null text counts as empty and has no spans. Very long values are weighed whole. Offsets are code points, end exclusive. Repeated rows give repeated results.
 """
 
 from __future__ import annotations

@@ -52,7 +52,6 @@ _SIGN = re.escape(_SIGNS)
 STRETCH = re.compile(rf"[^\W\d_]+(?:[{_SIGN}]+[^\W\d_]*)+|[{_SIGN}]+[^\W\d_]+(?:[{_SIGN}]+[^\W\d_]*)*")
 REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 SPACED = re.compile(rf"(?<![^\W_])(?:[^\W\d_]|[{_SIGN}])(?:[ .\-_][^\W\d_{_SIGN}]|[ .\-_][{_SIGN}]){{2,}}(?![^\W_])")
-LONGEST = 400  # letters of one lattice; a longer stretch is decoded in pieces of this length
 STAY = math.log(0.9)
 CHANGE = math.log(0.1)
 # Chance that a word as written has this sign right behind it, in its own meaning.
@@ -142,8 +141,7 @@ class Restorer:
         return made
 
     def _restore(self, stretch: str) -> str:
-        lattice = self.options(stretch)
-        return "".join(self.decode(lattice[k : k + LONGEST]) for k in range(0, len(lattice), LONGEST))
+        return self.decode(self.options(stretch))
 
     def restore(self, low: str, mixed: bool = True, repeated: bool = True, spaced: bool = True) -> list[str]:
         """Restored words of the disguised stretches of a text in lower case; the flags say what it may hold."""

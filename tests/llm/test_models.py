@@ -201,3 +201,84 @@ def test_benchmark_hits(spark, frame, part_bytes):
     for r in got:
         for s in r.hit_spans:
             assert len(ITEM_WORD.findall(texts[r.doc_id][s.start : s.end].lower())) == s.last - s.first + 1
+
+
+def test_decoding_finds_the_best_of_all_paths():
+    """Every path of small lattices, scored letter by letter."""
+    draw = random.Random(31)
+    text = " " + " ".join("".join(draw.choices("abcdio", k=draw.randrange(1, 7))) for _ in range(400)) + " "
+    codes = [toxicity.SYMBOL.get(c, 0) for c in " " + text]
+    trigrams = np.zeros(toxicity.SYMBOLS**3)
+    for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+        trigrams[(a * toxicity.SYMBOLS + b) * toxicity.SYMBOLS + c] += 1
+    restorer = toxicity.Restorer(trigrams)
+
+    def score(path) -> float:
+        total, x, y = 0.0, 0, 0
+        for letters, chance in path:
+            total += chance
+            for c in letters:
+                z = 0 if c == " " else toxicity.SYMBOL.get(c, toxicity.OTHER)
+                if z or y:
+                    total, x, y = total + restorer.log[x, y, z], y, z
+        return total + (restorer.log[x, y, 0] if y else 0.0)
+
+    lattices = [restorer.options(s) for s in ("a!b", "1d10", "b0aaad", "i d 1 o", "$a$$", "c0o0!", "@@@b", "d.1.b")]
+    for _ in range(60):
+        lattices.append([[(draw.choice(["a", "b", "c", "", " ", "ab", "oo"]), math.log(draw.random())) for _ in range(draw.randrange(1, 4))] for _ in range(draw.randrange(1, 6))])
+    for lattice in lattices:
+        best = max(itertools.product(*lattice), key=score)
+        found = restorer.decode(lattice)
+        same = [p for p in itertools.product(*lattice) if "".join(t for t, _ in p) == found]
+        assert max(map(score, same)) == pytest.approx(score(best))
+
+
+def test_a_long_stretch_is_one_lattice(restorer):
+    """No border where a long stretch would have been cut: the word across it is restored."""
+    for filler in (396, 397, 398, 399, 400):
+        stretch = " ".join("x" * filler) + " 1 d 1 0 t"
+        assert restorer._restore(stretch).replace(" ", "").endswith("idiot")
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    """Words, dates, repeats, walks and brute force over every way to cut short values."""
+    draw = random.Random(41)
+    ranks = {"pass": 3, "word": 7, "password": 2, "dragon": 40, "in": 90, "sword": 500}
+    beside = secrets.neighbours()
+
+    def piece_costs(value: str, a: int, b: int) -> list[float]:
+        piece, low = value[a:b], value[a:b].lower()
+        costs = []
+        if len(piece) > 1 and low in ranks:
+            capitals = sum(c.isupper() for c in piece)
+            usual = capitals in (0, len(piece)) or (piece[0].isupper() and capitals == 1)
+            costs.append(math.log10(ranks[low] + 1) + (0 if not capitals else math.log10(2) if usual else math.log10(math.comb(len(piece), capitals) * 2)))
+        found = secrets.DATE_RE.match(value, a, min(len(value), a + 10))
+        if found and found.end() == b:
+            costs.append(math.log10(150 if len(piece) == 4 else 150 * 365) + (len(piece) > 8) * math.log10(4))
+        if len(piece) >= 3 and all(low[i : i + 2] in beside for i in range(len(low) - 1)):
+            steps = [ord(y) - ord(x) for x, y in zip(low, low[1:], strict=False)]
+            costs.append(math.log10(47 * len(piece)) + sum(x != y for x, y in zip(steps, steps[1:], strict=False)) * math.log10(4) / 2)
+        for unit in range(1, 9):
+            times = len(piece) // unit
+            if len(piece) == unit * times and times >= max(2, -(-3 // unit)) and low == low[:unit] * times:
+                costs.append(sum(map(secrets.brute_force, low[:unit])) + math.log10(times))
+        return costs
+
+    def least(value: str) -> float:
+        best = math.inf
+        n = len(value)
+        for cuts in itertools.product([0, 1], repeat=n - 1):
+            ends = [i + 1 for i, c in enumerate(cuts) if c] + [n]
+            spans = list(zip([0, *ends], ends, strict=False))
+            whole = [min(piece_costs(value, a, b), default=math.inf) for a, b in spans]
+            brute = [sum(map(secrets.brute_force, value[a:b])) for a, b in spans]
+            best = min(best, sum(min(w, x) for w, x in zip(whole, brute, strict=True)) + secrets.PIECE * (n and len(spans) - 1))
+        return best
+
+    values = ["Password", "passwordin", "qwerty12", "aaaaaa", "abababab", "19991231", "dragon1999", "a1b2c3", "pAssWord", "zxcvbn", "abcabcx", "2024pass", "1q2w3e"]
+    values += ["".join(draw.choice(["a", "b", "1", "9", "in", "pass", "qwe", "X", "é", "2001", "_"]) for _ in range(draw.randrange(1, 5)))[:10] for _ in range(60)]
+    for value in values:
+        cost, pieces = secrets.guess_pieces(value, ranks)
+        assert cost == pytest.approx(least(value)), value
+        assert [a for _, a, _ in pieces] == [0, *[b for _, _, b in pieces[:-1]]] and pieces[-1][2] == len(value)
