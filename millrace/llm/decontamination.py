@@ -5,24 +5,28 @@ an offset in the normalised text is the same offset in the original, and word bo
 The automaton holds every window of ``window`` words of the items (a shorter item whole), with a blank on both sides;
 a text is scanned once.
 
-The automaton is broadcast, so its size is bounded: a benchmark of more than ``part_bytes`` of text is dealt into
-parts by item, one automaton and one scan each, and the hits of all parts are put together.
+The automaton is broadcast, so its size is bounded: the windows of a benchmark of more than ``part_bytes`` of text are dealt
+into parts by a hash of window and item, so neither a large item nor a window of many items makes a large part. Part after part is
+sent out, scanned for and taken back; the hits of all parts are put together. A Python worker builds the automaton of a part once.
 
 Null text has no words; a null item or an item without words has no windows. A null item id is written as the
-empty text. Repeated rows give repeated results. Without items nothing is hit.
+empty text. Repeated rows give repeated results. Without items nothing is hit, without documents there are no rows. A very long text is scanned whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import documents, map_parts, with_rows
+from millrace.llm.texts import documents, map_parts, with_rows, written
 
 WINDOW = 10
 # About ten trie nodes of 40 bytes for each byte of item text.
@@ -49,18 +53,35 @@ def windows_of(words: list[bytes], window: int) -> list[str]:
     return [(b" " + b" ".join(words[i : i + size]) + b" ").decode("latin-1") for i in range(len(words) - size + 1)]
 
 
-def automaton(items: list[tuple[str, str]], window: int) -> ahocorasick.Automaton:
-    """From padded windows to (words in it, items that hold it)."""
+Window = tuple[str, int, str]  # padded window, words in it, item
+
+
+def windows_of_item(item: str, text: str | None, window: int) -> list[Window]:
+    words = words_of(text)
+    return [(found, min(window, len(words)), item) for found in windows_of(words, window)]
+
+
+def automaton(windows: list[Window]) -> ahocorasick.Automaton | None:
+    """From padded windows to (words in it, items that hold it); None without windows."""
     holders: dict[str, tuple[int, list[str]]] = {}
-    for item, text in items:
-        words = words_of(text)
-        for found in windows_of(words, window):
-            holders.setdefault(found, (min(window, len(words)), []))[1].append(item)
+    for found, size, item in windows:
+        holders.setdefault(found, (size, []))[1].append(item)
     made = ahocorasick.Automaton()
     for found, (size, names) in holders.items():
         made.add_word(found, (size, tuple(dict.fromkeys(names))))
     made.make_automaton()
-    return made
+    return made if len(made) else None
+
+
+_held: dict[str, ahocorasick.Automaton | None] = {}
+
+
+def held_automaton(name: str, windows: Callable[[], list[Window]]) -> ahocorasick.Automaton | None:
+    """The automaton of a part, kept by the worker for its next task; that of another part goes."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = automaton(windows())
+    return _held[name]
 
 
 def scan(normal: bytes, made: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -97,12 +118,22 @@ def character_spans(text: str, normal: bytes, runs: list[tuple[int, int]]) -> li
     return [(int(at[starts[a]]), int(at[ends[b]])) for a, b in runs]
 
 
-def _scanned(docs: DataFrame, items: list[tuple[str, str]], window: int, keyed: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+class Part:
+    """Windows of one automaton, on their way to the tasks."""
+
+    def __init__(self, spark: SparkSession, windows: list[Window]):
+        self.shared, self.name = spark.sparkContext.broadcast(windows), uuid.uuid4().hex
+
+    def begin(self) -> Callable[[], ahocorasick.Automaton | None]:
+        shared, name = self.shared, self.name
+        return lambda: held_automaton(name, lambda: shared.value)
+
+
+def _scanned(docs: DataFrame, part: Part, keyed: bool) -> DataFrame:
+    automaton_here = part.begin()
 
     def start():
-        made = automaton(shared.value, window)
-        made = made if len(made) else None
+        made = automaton_here()
 
         def step(ids, texts):
             keys, counts, spans, names = [], [], [], []
@@ -127,30 +158,49 @@ def _items(benchmark: DataFrame, item_col: str = "item_id") -> DataFrame:
     return benchmark.select(item, F.col("text").cast("string").alias("text")).where("text is not null")
 
 
-def _item_parts(items: DataFrame, part_bytes: int) -> list[list[tuple[str, str]]]:
-    """Items in parts of about ``part_bytes`` of text, each small enough for one automaton."""
+def _parts(items: DataFrame, window: int, part_bytes: int) -> Iterator[list[Window]]:
+    """Windows of all items in parts of a bounded size, each brought to the driver when it is asked for."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    pieces = max(1, -(-size // part_bytes))
-    dealt = items.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(pieces)))
-    return [[(r.item, r.text) for r in dealt.where(F.col("part") == part).collect()] for part in range(pieces)]
+    if size <= part_bytes:
+        yield [found for r in items.collect() for found in windows_of_item(r.item, r.text, window)]
+        return
+
+    def begin():
+        def step(names, texts):
+            found = [w for item, text in zip(names.to_pylist(), texts.to_pylist(), strict=True) for w in windows_of_item(item, text, window)]
+            return [[w[k] for w in found] for k in range(3)]
+
+        return step
+
+    windows = written(map_parts(items, begin, "found string, size int, item string").distinct(), "benchmark")
+    # a window is about ``window`` times as much text as its share of the item
+    held = windows.agg(F.sum(F.octet_length("found") + F.octet_length("item"))).first()[0] or 0
+    pieces = -(-held // (part_bytes * window))
+    dealt = windows.withColumn("part", F.pmod(F.xxhash64("found", "item"), F.lit(pieces)))
+    for part in range(pieces):
+        yield [(r.found, r.size, r.item) for r in dealt.where(F.col("part") == part).collect()]
 
 
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, item_col: str = "item_id"
 ) -> DataFrame:
     """Per document: n_words, hit_spans (word numbers and code point offsets of hit runs), items (sorted texts of ids)."""
-    texts = documents(docs)
-    parts = _item_parts(_items(benchmark, item_col), part_bytes)
-    if len(parts) == 1:
-        return _scanned(texts, parts[0], window, keyed=False).drop("text_key")
-    found = None
-    for of_part in parts:
-        one = _scanned(texts, of_part, window, keyed=True)
-        found = one if found is None else found.unionByName(one)
+    spark, texts = docs.sparkSession, documents(docs)
+    parts = _parts(_items(benchmark, item_col), window, part_bytes)
+    first, second = next(parts, []), next(parts, None)
+    if second is None:
+        return _scanned(texts, Part(spark, first), keyed=False).drop("text_key")
+    found, n = None, 0
+    for windows in chain((first, second), parts):
+        part = Part(spark, windows)
+        # written before the next part is sent out: one part at a time is in memory
+        one = written(_scanned(texts, part, keyed=True), "benchmark-hits")
+        part.shared.unpersist()
+        found, n = one if found is None else found.unionByName(one), n + 1
     together = found.groupBy("doc_id", "text_key", "n_words").agg(
         F.array_distinct(F.flatten(F.collect_list("hit_spans"))).alias("hit_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
+        (F.count(F.lit(1)) / n).cast("int").alias("copies"),
     )
     each = together.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     return each.select("doc_id", "n_words", "hit_spans", "items")
@@ -171,17 +221,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     )
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark."""
-    items = _items(benchmark)
-    kept = docs
-    for part in _item_parts(items, PART_BYTES):
+    kept, before = docs, None
+    for windows in _parts(_items(benchmark), window, part_bytes):
+        if before is not None:  # what the part before has left is written, and that part taken back
+            kept = written(kept, "benchmark-kept")
+            before.shared.unpersist()
+        before = Part(docs.sparkSession, windows)
         rows, passed = with_rows(kept)
-        shared = docs.sparkSession.sparkContext.broadcast(part)
+        automaton_here = before.begin()
 
-        def begin(shared=shared):
-            made = automaton(shared.value, window)
-            made = made if len(made) else None
+        def begin(automaton_here=automaton_here):
+            made = automaton_here()
 
             def step(_ids, texts, more):
                 clean = [not scan((t or "").encode().translate(NORMAL), made)[2] for t in texts.to_pylist()]

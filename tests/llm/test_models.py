@@ -282,3 +282,29 @@ def test_guess_cost_is_the_least_of_all_segmentations():
         cost, pieces = secrets.guess_pieces(value, ranks)
         assert cost == pytest.approx(least(value)), value
         assert [a for _, a, _ in pieces] == [0, *[b for _, _, b in pieces[:-1]]] and pieces[-1][2] == len(value)
+
+
+def test_parts_of_a_benchmark_are_bounded(frame, monkeypatch):
+    """One large item and one window of many items: parts stay small, and hits are the same as with one automaton."""
+    draw = random.Random(51)
+    large = " ".join(f"w{draw.randrange(500)}" for _ in range(600))
+    common = "one window that stands in every item of the whole benchmark"
+    items = [(0, large), *[(k, common) for k in range(1, 60)], (None, "short one"), (60, None), (61, "!")]
+    texts = [large[300:700], f"x {common} y", "a short one here", None, "", "nothing at all", " ".join(large.split()[50:59])]
+    docs = frame(list(enumerate(texts * 2)), "doc_id bigint, text string")
+    table = frame(items, "item_id bigint, text string")
+    sizes, parts = [], decontamination._parts
+
+    def watched(*arguments):
+        for part in parts(*arguments):
+            sizes.append(sum(len(w[0]) + len(w[2]) for w in part))
+            yield part
+
+    monkeypatch.setattr(decontamination, "_parts", watched)
+    rows = lambda **of: sorted(map(repr, decontamination.contamination(docs, table, **of).drop("hit_spans").collect()))
+    whole = rows()
+    assert len(sizes) == 1
+    assert rows(part_bytes=300) == whole
+    assert len(sizes) > 10 and max(sizes[1:]) < 3 * 300 * decontamination.WINDOW
+    kept = decontamination.without_benchmark(docs, table, part_bytes=300)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k in range(14) if k % 7 in (3, 4, 5, 6))
