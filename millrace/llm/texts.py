@@ -20,6 +20,8 @@ from millrace.session import shared_root
 
 # Rows handed to a function at once hold about so many bytes of text; a longer text comes alone.
 PART_BYTES = 4 * 1024 * 1024
+# Bytes of rows that Spark hands to Python at once; it holds such a batch on both sides.
+BATCH_BYTES = "8m"
 
 
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,6 +65,7 @@ def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, tex
     Columns come as Arrow arrays and go as Arrow arrays, numpy arrays or lists; ``text`` is the column whose size counts.
     """
     share_code(docs.sparkSession.sparkContext)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     made_as = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
