@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import is_small
+from millrace.operators import joins
 
 # Bits of a bitmap are fixed by the built-in bitmap functions. With 16 bits and 7 hashes a key about one in 2,000 foreign keys is reported.
 BITMAP_BITS = 32_768
@@ -59,8 +59,8 @@ def may_hold(index: DataFrame, folder: str, keys: DataFrame, key: str) -> list:
 
     The keys' own range prunes the index first. The answer has a value for each folder at most.
     """
-    wanted = keys.select(F.col(key).alias("key")).where("key is not null").distinct()
-    least, greatest = wanted.agg(F.min("key"), F.max("key")).first()
+    wanted = keys.select(F.col(key).alias("key")).where("key is not null")
+    least, greatest, n, size = wanted.agg(F.min("key"), F.max("key"), F.count(F.lit(1)), F.sum(F.octet_length(F.col("key").cast("string")))).first()
     if least is None:
         return []
     kind = index.schema["least"].dataType
@@ -68,9 +68,10 @@ def may_hold(index: DataFrame, folder: str, keys: DataFrame, key: str) -> list:
     sizes = [r["size"] for r in near.select("size").distinct().collect()]  # powers of two
     if not sizes:
         return []
-    probes = wanted.select("key", F.explode(F.array(*[F.lit(s).cast("bigint") for s in sizes])).alias("size"))
+    probes = wanted.distinct().select("key", F.explode(F.array(*[F.lit(s).cast("bigint") for s in sizes])).alias("size"))
     probes = probes.withColumn("bucket", _bucket(F.col("key"), F.col("size")))
-    probes = F.broadcast(probes) if is_small(probes) else probes
+    if n * len(sizes) <= joins.BROADCAST_ROWS and size * len(sizes) <= joins.BROADCAST_BYTES:
+        probes = F.broadcast(probes)
     hit = F.col("key").between(F.col("least"), F.col("greatest"))
     for bit in _bits(F.col("key")):
         hit = hit & _is_set(F.col("bitmap"), bit)

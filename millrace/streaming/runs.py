@@ -157,12 +157,13 @@ def insert_batch(
     root: str,
     schema: T.StructType,
     key: str,
+    report: bool = False,
 ) -> None:
     """One micro-batch of ``append_absent`` on a table with an index of its keys.
 
     ``insert(batch, target)`` gets as target only the batch folders that may hold a key of the batch, by ``key_index``; a folder
-    without an index is among them. The folder that is written gets its index, and ``_probes`` how many folders there
-    were and how many were opened. A replayed batch replaces all three.
+    without an index is among them. The folder that is written gets its index, and with ``report`` ``_probes`` gets how many
+    folders there were and how many were opened. A replayed batch replaces all of it.
     """
     spark = batch.sparkSession
     target = read_log(spark, root, schema)
@@ -175,7 +176,9 @@ def insert_batch(
     opened = sorted((others - indexed) | (others & set(found)))
     write_batch(insert(batch, target.where(target[BATCH].isin(opened))), root, batch_id)
     written = spark.read.schema(schema).parquet(f"{root}/{BATCH}={batch_id}")
-    write_batch(key_index.build(written, key), f"{root}/{KEYS}", batch_id)
+    key_index.build(written, key).write.mode("overwrite").parquet(f"{root}/{KEYS}/{BATCH}={batch_id}")
+    if not report:
+        return
     probe = spark.range(1).select(F.lit(len(others)).cast("bigint").alias("folders"), F.lit(len(opened)).cast("bigint").alias("opened"))
     probe.coalesce(1).write.mode("overwrite").parquet(f"{root}/{PROBES}/{BATCH}={batch_id}")
 

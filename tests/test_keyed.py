@@ -156,10 +156,10 @@ def test_folders_opened(spark, frame, folder):
     root, schema = folder("table"), frame([], "k string, v int").schema
     insert = lambda new, target: insert_if_absent(new, target, "k")
     for b in range(8):
-        runs.insert_batch(frame([(f"{b}-{n}", n) for n in range(50)], "k string, v int"), b, insert, root, schema, "k")
-    runs.insert_batch(frame([("3-7", 99), ("new", 1)], "k string, v int"), 8, insert, root, schema, "k")
-    runs.insert_batch(frame([], "k string, v int"), 9, insert, root, schema, "k")
-    runs.insert_batch(frame([("new", 2)], "k string, v int"), 10, insert, root, schema, "k")
+        runs.insert_batch(frame([(f"{b}-{n}", n) for n in range(50)], "k string, v int"), b, insert, root, schema, "k", report=True)
+    runs.insert_batch(frame([("3-7", 99), ("new", 1)], "k string, v int"), 8, insert, root, schema, "k", report=True)
+    runs.insert_batch(frame([], "k string, v int"), 9, insert, root, schema, "k", report=True)
+    runs.insert_batch(frame([("new", 2)], "k string, v int"), 10, insert, root, schema, "k", report=True)
     probes = {r.batch_id: (r.folders, r.opened) for r in spark.read.parquet(f"{root}/{runs.PROBES}").collect()}
     assert {b: f for b, (f, _) in probes.items()} == {b: b for b in range(11)}
     assert probes[8][1] <= 2 and probes[9][1] == 0 and 1 <= probes[10][1] <= 2
