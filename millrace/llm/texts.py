@@ -75,6 +75,9 @@ def map_parts(docs: DataFrame, function: Callable, schema: str | StructType, tex
             if made is not None:
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(made, made_as, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=made_as)
+        # a worker that waits for its next task gives back what this one held
+        step = part = made = arrays = None  # noqa: F841
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
