@@ -72,19 +72,14 @@ class Bytes:
         return inside & ((context >> np.uint64(64 - recurring.CHECK_BITS)).astype(np.int64) == check)
 
 
-def with_entries(texts: DataFrame, segments: DataFrame, crowded: bool) -> DataFrame:
-    """Texts that have contexts to be compared, of anchors in one slot or in several (``crowded``)."""
-    return texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 1 if crowded else e["slots"] == 1)), "doc")
-
-
 ASKED = "key bigint, slot int, inner bigint, doc bigint, start bigint, origin bigint, context binary"
 
 
-def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int, crowded: bool) -> DataFrame:
+def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int) -> DataFrame:
     """Contexts that have to be compared, with the place of their anchor, out of rows (doc, text, entries).
 
-    For an anchor in several slots (``crowded``) a context is cut at its blocks, so that equal windows meet in one slot: that of
-    the hash of their full blocks, ``inner``.
+    For an anchor in several slots a context is cut at its blocks, so that equal windows meet in one slot: that of the hash of
+    their full blocks, ``inner``; a whole context has none.
     """
     full = (window - block) // block
 
@@ -98,7 +93,7 @@ def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int, crow
 
             for row, (doc, text) in enumerate(zip(ids.to_pylist(), texts.to_pylist(), strict=True)):
                 start, windows, check, key, slots, _ = recurring.entry_arrays(entries[row].values)
-                asked = slots > 1 if crowded else slots == 1
+                asked = slots > 0
                 if not asked.any():
                     continue
                 raw = (text or "").encode()
@@ -109,7 +104,7 @@ def asked_contexts(joined: DataFrame, window: int, anchor: int, block: int, crow
                 for s, n, k, many in zip(*(x[asked].tolist() for x in (start, windows, key, slots)), strict=True):
                     origin = s + int(np.argmax(phrases[s : s + window - anchor + 1] == k))
                     if many == 1:
-                        add(k, 0, 0, doc, s, origin, raw[s : s + n + window - 1])
+                        add(k, 0, None, doc, s, origin, raw[s : s + n + window - 1])
                         continue
                     for q in range(s + (origin - s) % block, s + n + block - 1, block):
                         low, high = max(s, q - block + 1), min(s + n - 1, q)
@@ -246,10 +241,10 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept bytes and removed spans of every document."""
     texts, least = recurring.keyed(docs)
     segments = recurring.recurring_segments(texts, lambda texts: find_segments(texts, window, anchor), lambda _first, copies: copies > 1, "bytes")
-    found = compare_contexts(asked_contexts(with_entries(texts, segments, False), window, anchor, block, False), window, block)
-    crowded = with_entries(texts, segments, True)
-    if not segments.where(F.exists("entries", lambda e: e["slots"] > 1)).isEmpty():
-        cut = written(asked_contexts(crowded, window, anchor, block, True), "crowded")
+    asked = written(asked_contexts(texts.join(segments.where(F.exists("entries", lambda e: e["slots"] > 0)), "doc"), window, anchor, block), "asked")
+    found = compare_contexts(asked.where("inner is null"), window, block)
+    cut = asked.where("inner is not null")
+    if not cut.isEmpty():
         found = found.unionByName(compare_crowded(cut, window, block))
     marked = found.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("marked"))
     joined = texts.join(segments, "doc", "left").join(marked, "doc", "left")
