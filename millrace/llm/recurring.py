@@ -26,6 +26,9 @@ from millrace.llm.texts import join_counted, map_parts, written
 
 # Segments of one anchor in a slot of its shard.
 SLOT_ROWS = 20_000
+# Text that is searched at once: arrays of eight bytes for each of its bytes stay near the processor.
+PART_BYTES = 512 * 1024
+
 SEGMENTS = "doc bigint, key bigint, context bigint, at bigint"
 
 CHECK_BITS, COUNT_BITS = 16, 12
@@ -69,7 +72,7 @@ def segments(texts: DataFrame, find: Callable) -> DataFrame:
 
         return step
 
-    return map_parts(texts, begin, SEGMENTS)
+    return map_parts(texts, begin, SEGMENTS, part_bytes=PART_BYTES)
 
 
 def recurring_segments(texts: DataFrame, find: Callable, covered: Callable, name: str) -> DataFrame:
