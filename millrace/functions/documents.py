@@ -34,6 +34,14 @@ def field(doc: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(doc, f"$.{path}", kind)
 
 
+def inside(value: Column, path: str, root: str) -> Column:
+    """Place ``path`` of a document whose part ``root`` was read as the struct ``value``; null where an array is too short."""
+    for step in path.removeprefix(f"{root}.").split("."):
+        name, _, place = step.rstrip("]").partition("[")
+        value = F.get(value[name], F.lit(int(place))) if place else value[name]
+    return value
+
+
 def has_key(doc: Column, path: str) -> Column:
     """True when the path exists, even with a JSON null."""
     return F.try_variant_get(doc, f"$.{path}", "variant").isNotNull()

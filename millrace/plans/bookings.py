@@ -20,6 +20,14 @@ FLAT = "flat"
 _EVENT = "payload.scheduled_event"
 _HOST = f"{_EVENT}.event_memberships[0]"
 
+# What is read of a payload, in one pass over it: a path of its own for each field would go through the document from its root again.
+_PAYLOAD = (
+    "struct<uri string, email string, name string, status string, created_at string, tracking variant, scheduled_event struct<"
+    "uri string, start_time string, end_time string, name string, event_type string, "
+    "event_memberships array<struct<user_email string, user_name string>>>>"
+)
+_READ = "__payload"
+
 # Flat column -> where it stands in the document. Of an address the last segment is taken.
 _ADDRESSES = {
     "invitee_id": "payload.uri",
@@ -40,14 +48,14 @@ _COPIES = {
 _TRACKING = "payload.tracking"
 
 
-def _flat(doc: Column) -> Column:
-    columns = {n: text.last_segment(documents.field(doc, path)) for n, path in _ADDRESSES.items()}
-    columns |= {n: documents.field(doc, path) for n, path in _COPIES.items()}
-    columns["campaign"] = documents.field(doc, f"{_TRACKING}.utm_campaign")
+def _flat(payload: Column) -> Column:
+    columns = {n: text.last_segment(documents.inside(payload, path, "payload")) for n, path in _ADDRESSES.items()}
+    columns |= {n: documents.inside(payload, path, "payload") for n, path in _COPIES.items()}
+    columns["campaign"] = documents.field(payload["tracking"], "utm_campaign")
     return F.struct(*[c.alias(n) for n, c in columns.items()])
 
 
-def _rules(doc: Column, flat: str) -> dict[str, Column]:
+def _rules(doc: Column, payload: Column, flat: str) -> dict[str, Column]:
     """What a booking document must hold.
 
     A field that is only copied has to be present but may be a JSON null; one that is cut or
@@ -56,7 +64,7 @@ def _rules(doc: Column, flat: str) -> dict[str, Column]:
     """
     rules = {"body": doc.isNotNull()}
     rules |= {path: F.col(f"{flat}.{n}").isNotNull() for n, path in _ADDRESSES.items()}
-    rules[_TRACKING] = documents.has_value(doc, _TRACKING)
+    rules[_TRACKING] = payload["tracking"].isNotNull() & ~F.is_variant_null(payload["tracking"])
     rules |= {
         path: F.col(f"{flat}.{n}").isNotNull() | documents.has_key(doc, path)
         for n, path in _COPIES.items()
@@ -72,8 +80,9 @@ def booking_silver(bronze: DataFrame, channels: Mapping[str, str] = CHANNELS) ->
     """
     kept = [c for c in bronze.columns if c not in ("body", *BOOKING_SILVER)]
     parsed = documents.with_parsed(bronze, "body", _DOC)
-    parsed = documents.with_once(parsed, FLAT, _flat(F.col(_DOC)))
-    judged = split_required(parsed, _rules(F.col(_DOC), FLAT)).judged.drop(_DOC)
+    parsed = documents.with_once(parsed, _READ, documents.field(F.col(_DOC), "payload", _PAYLOAD))
+    parsed = documents.with_once(parsed, FLAT, _flat(F.col(_READ)))
+    judged = split_required(parsed, _rules(F.col(_DOC), F.col(_READ), FLAT)).judged.drop(_DOC, _READ)
 
     def valid(rows: DataFrame) -> DataFrame:
         channel = documents.lookup(F.col("event_type_id"), dict(channels))

@@ -52,7 +52,8 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # the bracket makes it a pattern: a pattern may match one file as well as a folder
     reader = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", BATCH_BYTES)
     files = reader.parquet(f"{sf_dir}/{name}.parque[t]")
-    return files.select("*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time"))
+    # a file of one row group would be one task, and so would all that is made of it
+    return files.select("*", "_metadata.file_path", F.col("_metadata.file_modification_time").alias("file_time")).hint("rebalance")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -207,7 +208,7 @@ def booking_body() -> Column:
         stamp.alias("end_time"),
         F.concat(F.lit("call "), F.col("event_type")).alias("name"),
         F.concat(F.lit("https://host/types/"), F.col("event_type")).alias("event_type"),
-        F.filter(host, lambda _: F.col("event_type") != "error").alias("event_memberships"),
+        F.when(F.col("event_type") != "error", host).otherwise(F.slice(host, 1, 0)).alias("event_memberships"),
     )
     payload = F.struct(
         F.concat(F.lit("https://host/invitees/"), text_of("event_id")).alias("uri"),
@@ -215,9 +216,8 @@ def booking_body() -> Column:
         F.concat(F.lit("User "), text_of("user_id")).alias("name"),
         F.lit("active").alias("status"),
         stamp.alias("created_at"),
-        F.map_filter(
-            F.create_map(F.lit("utm_campaign"), F.col("props")), lambda _key, _value: F.col("event_type") == "click"
-        ).alias("tracking"),
+        F.when(F.col("event_type") == "click", F.create_map(F.lit("utm_campaign"), F.col("props")))
+        .otherwise(F.create_map().cast("map<string,string>")).alias("tracking"),
         meeting.alias("scheduled_event"),
     )
     return F.to_json(F.struct(payload.alias("payload")))

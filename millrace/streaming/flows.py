@@ -11,9 +11,10 @@ from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.required import split_required
+from millrace.operators.required import REASONS, split_required
 from millrace.plans import bookings, leads
 from millrace.schemas import BOOKING_GOLD, BOOKING_SILVER, BRONZE, CHANNELS, LEAD_GOLD
 from millrace.sources import landing
@@ -68,7 +69,9 @@ def run_bookings(
 
     def to_silver(batch: DataFrame) -> runs.Parts:
         split = bookings.booking_silver(batch.drop("doc_id"), channels)
-        return runs.Parts(split, lambda s: {"silver": s.valid, "quarantine": s.quarantine})
+        # only the quarantine shows bodies; those of valid rows need not be kept while the parts are written
+        slim = split.judged.withColumn("body", F.when(F.col(REASONS).isNotNull(), F.col("body")))
+        return runs.Parts(split.held(slim), lambda s: {"silver": s.valid, "quarantine": s.quarantine})
 
     def to_gold(batch: DataFrame) -> dict[str, DataFrame]:
         return {"gold": bookings.booking_gold(batch, spend, as_of, **options)}
