@@ -109,6 +109,8 @@ def insert_if_absent(
     ones already present, and only those meet the batch again.
     """
     fresh = first_per_key(new, [key], order_by)
+    if target.isEmpty():  # the keys of the batch need not be counted
+        return fresh
     present = narrowed(target.select(key), new, key, broadcast_rows)
     # distinct: a key that fills the target must not fill one task of the join
     return fresh.join(present.distinct(), key, "left_anti")

@@ -42,10 +42,13 @@ def build(rows: DataFrame, key: str) -> DataFrame:
     size, least = 1, keys.count()
     while size * KEYS_PER_BITMAP < least:
         size *= 2
-    placed = keys.select(_bucket(F.col("key"), F.lit(size)).alias("bucket"), "key", F.explode(F.array(*_bits(F.col("key")))).alias("bit"))
-    filled = placed.groupBy("bucket").agg(
-        F.bitmap_construct_agg("bit").alias("bitmap"), F.min("key").alias("least"), F.max("key").alias("greatest")
+    # keys are shuffled, not bitmaps: a task has few keys of each bucket, but its bitmap would be whole. One bitmap for each hash, then their union
+    placed = keys.select(_bucket(F.col("key"), F.lit(size)).alias("bucket"), "key").repartition("bucket")
+    each = placed.groupBy("bucket").agg(
+        F.array(*[F.bitmap_construct_agg(bit) for bit in _bits(F.col("key"))]).alias("each"), F.min("key").alias("least"), F.max("key").alias("greatest")
     )
+    opened = each.select("bucket", F.explode("each").alias("bitmap"), "least", "greatest")
+    filled = opened.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"), F.min("least").alias("least"), F.max("greatest").alias("greatest"))
     return filled.select(F.lit(size).cast("bigint").alias("size"), "bucket", "bitmap", "least", "greatest")
 
 

@@ -174,7 +174,9 @@ def insert_batch(
     indexed = _folders(index) & others
     found = key_index.may_hold(index.where(index[BATCH] != batch_id), BATCH, batch, key) if indexed else []
     opened = sorted((others - indexed) | (others & set(found)))
-    write_batch(insert(batch, target.where(target[BATCH].isin(opened))), root, batch_id)
+    # the rows come out of a shuffle by key, whose small partitions are merged: a second one would make the files no fewer
+    rows = insert(batch, target.where(target[BATCH].isin(opened)))
+    rows.write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
     written = spark.read.schema(schema).parquet(f"{root}/{BATCH}={batch_id}")
     key_index.build(written, key).write.mode("overwrite").parquet(f"{root}/{KEYS}/{BATCH}={batch_id}")
     if not report:
