@@ -16,6 +16,8 @@ from millrace.sources import landing
 from millrace.streaming import flows, keyed, runs
 
 _FILE = ["file_path", "file_time"]
+# Lines of an inbox file at most; each file is one task's.
+INBOX_LINES = 250_000
 
 
 def stream_upsert(spark, d):
@@ -50,12 +52,20 @@ def stream_enrich(spark, d):
     return runs.latest(log, "invitee_id").select(*BOOKING_GOLD)
 
 
+def _fill_inbox(spark, d, path):
+    """Booking documents of all events as lines of an even number of files, which is returned: four, more for a large table."""
+    rows = table(spark, d, "events")
+    files = max(4, 2 * -(-rows.count() // (2 * INBOX_LINES)))
+    # rows are dealt out before they become documents, which are several times as wide
+    rows.repartition(files).select(booking_body().alias("body")).write.text(path)
+    return files
+
+
 def stream_files(spark, d):
     """Booking documents as lines of landed files, streamed file by file, archived, and current by keyed state."""
     root = scratch(spark, "files")
-    bodies = table(spark, d, "events").select(booking_body().alias("body"))
-    bodies.repartition(4).write.text(f"{root}/inbox")
-    landed = landing.stream_bodies(spark, f"{root}/inbox", whole_files=False, files_per_batch=2, archive=f"{root}/archive")
+    files = _fill_inbox(spark, d, f"{root}/inbox")
+    landed = landing.stream_bodies(spark, f"{root}/inbox", whole_files=False, files_per_batch=files // 2, archive=f"{root}/archive")
     flows.run_bookings(spark, landed, f"{root}/flow", spend(spark, d), AS_OF, channels=CHANNEL_OF)
     return flows.follow(spark, f"{root}/flow", "bookings").select(*BOOKING_GOLD)
 

@@ -81,13 +81,16 @@ def run_bookings(
     silver = runs.stream_log(spark, f"{root}/silver", BOOKING_LOG)
     runs.each_batch(silver, to_gold, root, f"{root}/_checkpoints/gold")
     gold = runs.stream_log(spark, f"{root}/gold", BOOKING_GOLD_LOG)
+    started = []
     for name, schema in (("events", BOOKING_EVENTS), ("marketing", BOOKING_MARKETING)):
 
         def insert(new: DataFrame, target: DataFrame, names: list[str] = schema.names) -> DataFrame:
             return bookings.load_bookings(new, target).select(*names)
 
         table, progress = f"{root}/warehouse/{name}", f"{root}/_checkpoints/{name}"
-        runs.append_absent_indexed(gold, insert, table, schema, progress, "invitee_id")
+        started.append(runs.start_absent_indexed(gold, insert, table, schema, progress, "invitee_id"))
+    # the tables do not depend on each other: while one query ends a step, the other has tasks to run
+    runs.await_all(started)
 
 
 def run_leads(spark: SparkSession, landed: DataFrame, root: str, owners: DataFrame) -> None:

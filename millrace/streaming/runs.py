@@ -8,13 +8,14 @@ Tables keyed by a business id are read through ``latest``: last arrival wins.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from contextlib import nullcontext
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import key_index
 from millrace.operators.dedup import latest_per_key
@@ -82,14 +83,23 @@ def land(stream: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
+def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _start(stream, handle, checkpoint).awaitTermination()
+
+
+def await_all(queries: Iterable[StreamingQuery | None]) -> None:
+    """Wait for queries that run side by side; when one fails the others are stopped."""
+    running = [q for q in queries if q is not None]
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
 
 
 class Parts(NamedTuple):
@@ -185,6 +195,20 @@ def insert_batch(
     probe.coalesce(1).write.mode("overwrite").parquet(f"{root}/{PROBES}/{BATCH}={batch_id}")
 
 
+def start_absent_indexed(
+    stream: DataFrame | None,
+    insert: Callable[[DataFrame, DataFrame], DataFrame],
+    root: str,
+    schema: T.StructType,
+    checkpoint: str,
+    key: str,
+) -> StreamingQuery | None:
+    """``append_absent`` that opens only the folders of the table that may hold keys of the batch; started, not waited for."""
+    if stream is None:
+        return None
+    return _start(stream, lambda batch, batch_id: insert_batch(batch, batch_id, insert, root, schema, key), checkpoint)
+
+
 def append_absent_indexed(
     stream: DataFrame | None,
     insert: Callable[[DataFrame, DataFrame], DataFrame],
@@ -193,7 +217,5 @@ def append_absent_indexed(
     checkpoint: str,
     key: str,
 ) -> None:
-    """``append_absent`` that opens only the folders of the table that may hold keys of the batch."""
-    if stream is None:
-        return
-    _run(stream, lambda batch, batch_id: insert_batch(batch, batch_id, insert, root, schema, key), checkpoint)
+    """``start_absent_indexed``; returns when all that has arrived is done."""
+    await_all([start_absent_indexed(stream, insert, root, schema, checkpoint, key)])
